@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import cohort
+from oracle import cohort, refine
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -13,4 +13,13 @@ ORACLE: dict[str, str] = {
     "first_last_by_type": cohort.first_last_by_type(),
     "user_order_metrics": cohort.user_order_metrics(),
     "distributor_orders": cohort.distributor_orders(),
+    "latest_version": refine.latest_version(),
+    "latest_version_mixed_order": refine.latest_version_mixed_order(),
+    "window_closed": refine.window(">="),
+    "window_half_open": refine.window(">"),
+    "changed_ids": refine.changed_ids(),
+    "staging_users": refine.staging_users(),
+    "staging_orders_nested": refine.staging_orders(),
+    "staging_contacts": refine.staging_contacts(),
+    "pii_users": refine.pii_users(),
 }

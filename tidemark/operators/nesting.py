@@ -1,8 +1,8 @@
-"""Child rows as nested arrays, and struct assembly."""
+"""Child rows as nested arrays."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,42 +12,59 @@ from pyspark.sql import functions as F
 # hold an unbounded array and no child is lost.
 CHILD_LIMIT = 100_000
 
+Child = tuple[DataFrame, Sequence[str | Column], Sequence[str]]
 
-def nest_children(
-    df: DataFrame,
-    keys: Sequence[str],
-    fields: Sequence[str | Column],
-    name: str,
-    limit: int | None = CHILD_LIMIT,
-    spread: Sequence[str] = (),
-    part: str = "part",
-) -> DataFrame:
-    """``(keys, part, name array<struct<fields>>)``, arrays sorted by their fields.
 
-    Parents above ``limit`` are found by a map-side count first; their children
-    are spread over ``ceil(count / limit)`` parts by a hash of the ``spread``
-    columns (the child's own id; by default the whole child). All other parents
-    have the single part 0.
+def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | None = CHILD_LIMIT, part: str = "part") -> DataFrame:
+    """``(keys, part, one sorted array<struct> and one n_<name> per child table)``.
+
+    ``children`` maps the array's name to (rows, fields, id columns). All child
+    tables go through one grouping. Parents above ``limit`` are found by a
+    map-side count first; their children are spread over ``ceil(count / limit)``
+    parts by a hash of the child's id (of its fields where no id is named). All
+    other parents have the single part 0. ``n_<name>`` counts over all parts.
     """
-    child_id = F.xxhash64(*(spread or [F.struct(*fields)]))
-    child = df.select(*keys, F.struct(*fields).alias("_child"), child_id.alias("_hash"))
+    names = list(children)
+    tagged = []
+    for name, (df, fields, ids) in children.items():
+        # typed NULLs for the other tables come with the union below
+        tagged.append(
+            df.select(
+                *keys, F.struct(*fields).alias(name), F.xxhash64(*(ids or [F.struct(*fields)])).alias("_hash")
+            )
+        )
+    rows = tagged[0] if len(tagged) == 1 else _union_by_name(tagged)
     if limit is None:
-        child = child.withColumn(part, F.lit(0))
+        spread = rows.withColumn(part, F.lit(0))
+        totals: list[Column] = []
     else:
-        crowded = (
-            df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-            .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
-        )
-        child = (
-            child.join(crowded, list(keys), "left")
-            .withColumn(
-                part,
-                F.when(F.col("_parts").isNull(), 0).otherwise(
-                    F.pmod("_hash", "_parts").cast("int")
-                ),
-            )
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.count(n).alias(f"_n_{n}") for n in names))
+        crowded = counts.filter(F.col("_n") > limit)
+        spread = rows.join(crowded, list(keys), "left").withColumn(
+            part,
+            F.when(F.col("_n").isNull(), 0).otherwise(F.pmod("_hash", F.ceil(F.col("_n") / limit))).cast("int"),
         )
-    return child.groupBy(*keys, part).agg(F.sort_array(F.collect_list("_child")).alias(name))
+        totals = [F.max(f"_n_{n}").alias(f"_n_{n}") for n in names]
+    nested = spread.groupBy(*keys, part).agg(*(F.sort_array(F.collect_list(n)).alias(n) for n in names), *totals)
+    for name in names:
+        own = F.size(name).cast("long")
+        nested = nested.withColumn(f"n_{name}", own if limit is None else F.coalesce(f"_n_{name}", own))
+    return nested.drop(*(f"_n_{n}" for n in names))
+
+
+def _union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    merged = frames[0]
+    for frame in frames[1:]:
+        merged = merged.unionByName(frame, allowMissingColumns=True)
+    return merged
+
+
+def nest_children(
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str, limit: int | None = CHILD_LIMIT,
+    ids: Sequence[str] = (),
+) -> DataFrame:
+    """One child table: ``(keys, part, name array<struct<fields>>)``."""
+    return nest_many({name: (df, fields, ids)}, keys, limit).drop(f"n_{name}")
 
 
 def unnest(df: DataFrame, array: str, alias: str) -> DataFrame:
