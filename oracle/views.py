@@ -55,7 +55,9 @@ SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id, l_
   CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(19,4)) AS price_total, l_shipdate AS shipped
 FROM lineitem""")
 view("items", """
-SELECT li.order_id, o.tree_user_id, o.status, o.order_date, p_name || ' ' || p_type AS product_description, li.price_total, li.product_id
+SELECT li.order_id, o.tree_user_id, o.status, o.order_date, p_name || ' ' || CASE p_type WHEN 'ECONOMY' THEN 'Monthly RBS'
+    WHEN 'PROMO' THEN 'Get4Discount DTP' WHEN 'STANDARD' THEN 'Reactivation DT Gold' WHEN 'MEDIUM' THEN 'Preview Event'
+    WHEN 'SMALL' THEN 'Pick Your Product' ELSE 'College month WVA' END AS product_description, li.price_total, li.product_id
 FROM li JOIN o ON li.order_id = o.order_id JOIN part ON p_partkey = li.product_id""", "li", "o")
 view("logins", """
 SELECT event_id AS id, user_id,

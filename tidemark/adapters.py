@@ -74,7 +74,12 @@ class Star:
 
     def order_products(self) -> DataFrame:
         """(order_id, tree_user_id, status, product_description, price_total) per item."""
-        part = self.table("part").selectExpr("p_partkey AS product_id", "concat(p_name, ' ', p_type) AS product_description")
+        part = self.table("part").selectExpr(
+            "p_partkey AS product_id",
+            "concat(p_name, ' ', CASE p_type WHEN 'ECONOMY' THEN 'Monthly RBS' WHEN 'PROMO' THEN 'Get4Discount DTP'"
+            " WHEN 'STANDARD' THEN 'Reactivation DT Gold' WHEN 'MEDIUM' THEN 'Preview Event' WHEN 'SMALL' THEN 'Pick Your Product'"
+            " ELSE 'College month WVA' END) AS product_description",
+        )
         return (
             self.order_items()
             .join(self.orders().select("order_id", "tree_user_id", "status", "order_date"), "order_id")

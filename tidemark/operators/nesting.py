@@ -16,7 +16,7 @@ Child = tuple[DataFrame, Sequence[str | Column], Sequence[str]]
 
 
 def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | None = CHILD_LIMIT, part: str = "part") -> DataFrame:
-    """``(keys, part, one sorted array<struct> and one n_<name> per child table)``.
+    """``(keys, part, parts, one sorted array<struct> and one n_<name> per child table)``.
 
     ``children`` maps the array's name to (rows, fields, id columns). All child
     tables go through one grouping. Parents above ``limit`` are found by a
@@ -36,7 +36,7 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
     rows = tagged[0] if len(tagged) == 1 else _union_by_name(tagged)
     if limit is None:
         spread = rows.withColumn(part, F.lit(0))
-        totals: list[Column] = []
+        totals = [F.lit(1).alias("parts")]
     else:
         counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.count(n).alias(f"_n_{n}") for n in names))
         crowded = counts.filter(F.col("_n") > limit)
@@ -45,6 +45,7 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
             F.when(F.col("_n").isNull(), 0).otherwise(F.pmod("_hash", F.ceil(F.col("_n") / limit))).cast("int"),
         )
         totals = [F.max(f"_n_{n}").alias(f"_n_{n}") for n in names]
+        totals.append(F.coalesce(F.max(F.ceil(F.col("_n") / limit)).cast("int"), F.lit(1)).alias("parts"))
     nested = spread.groupBy(*keys, part).agg(*(F.sort_array(F.collect_list(n)).alias(n) for n in names), *totals)
     for name in names:
         own = F.size(name).cast("long")
@@ -63,7 +64,7 @@ def nest_children(
     df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str, limit: int | None = CHILD_LIMIT,
     ids: Sequence[str] = (),
 ) -> DataFrame:
-    """One child table: ``(keys, part, name array<struct<fields>>)``."""
+    """One child table: ``(keys, part, parts, name array<struct<fields>>)``."""
     return nest_many({name: (df, fields, ids)}, keys, limit).drop(f"n_{name}")
 
 
