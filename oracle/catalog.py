@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import cohort, refine
+from oracle import cohort, refine, tree, usage
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -22,4 +22,17 @@ ORACLE: dict[str, str] = {
     "staging_orders_nested": refine.staging_orders(),
     "staging_contacts": refine.staging_contacts(),
     "pii_users": refine.pii_users(),
+    "engagement_features": usage.engagement_features(),
+    "login_platform_counts": usage.login_platform_counts(),
+    "usage_features": usage.usage_features(),
+    "own_logins": usage.own_logins(),
+    "downline_value": tree.downline_value(),
+    "subscription_revenue": tree.subscription_revenue(),
+    "product_classes": tree.product_classes(),
+    "sponsored_signups": tree.sponsored_signups(),
+    "sponsored_orders": tree.sponsored_orders(),
+    "generations": tree.generations(),
+    "sponsor_edges": tree.sponsor_edges(),
+    "direct_sponsor": tree.direct_sponsor(),
+    "table_profile": tree.table_profile(),
 }

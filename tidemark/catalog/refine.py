@@ -1,113 +1,18 @@
-"""Registered queries: each reads the given tables of one folder."""
+"""Version operators, refine jobs and assemblies on lake tables derived from the given ones."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark import config, session
+from tidemark import config
 from tidemark.adapters import Star
+from tidemark.catalog.base import FIRST, LAST, query
 from tidemark.operators import versions
-from tidemark.plans import cohort, refine
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-LOW, HIGH = "1995-03-01", "1996-06-30"
-AS_OF = "2001-06-30"
-
-
-def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, temporals as text: values any client compares alike."""
-
-    def shown(field: T.StructField):
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            return value.cast("double").alias(field.name)
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name)
-        if isinstance(field.dataType, T.DateType):
-            return value.cast("string").alias(field.name)
-        return value
-
-    return df.select(*(shown(f) for f in df.schema.fields))
-
-
-def query(name: str):
-    """Register ``fn(star)`` under a name."""
-
-    def register(fn: Callable[[Star], DataFrame]):
-        def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plain(fn(Star(session.tune(spark), folder)))
-
-        QUERIES[name] = run
-        return fn
-
-    return register
-
-
-# ---- cohort and value reports -------------------------------------------------
-
-
-@query("days_to_first_sale")
-def _(s: Star) -> DataFrame:
-    return cohort.days_to_first_sale(s.users(), s.orders())
-
-
-@query("days_to_last_sale")
-def _(s: Star) -> DataFrame:
-    return cohort.days_to_last_sale(s.users(), s.orders(), LOW, HIGH)
-
-
-@query("lifetime_value")
-def _(s: Star) -> DataFrame:
-    return cohort.lifetime_value(s.users(), s.orders(), LOW, HIGH)
-
-
-@query("cohort_value")
-def _(s: Star) -> DataFrame:
-    return cohort.cohort_value(s.users(), s.orders(), LOW, HIGH)
-
-
-@query("cohort_uplift")
-def _(s: Star) -> DataFrame:
-    gained = cohort.uplift(cohort.cohort_value(s.users(), s.orders(), LOW, HIGH))
-    sums = {c: F.round(c, 2 if c.endswith(("agg_rev_increase", "agg_rev_total")) else 4) for c in gained.columns if "increase" in c or c == "agg_rev_total"}
-    return gained.withColumns(sums)
-
-
-@query("first_30_day_sellers")
-def _(s: Star) -> DataFrame:
-    return cohort.first_month_sellers(s.users(), s.orders(), LOW, HIGH)
-
-
-@query("order_mix_shares")
-def _(s: Star) -> DataFrame:
-    return cohort.order_mix(s.users(), s.orders())
-
-
-@query("first_last_by_type")
-def _(s: Star) -> DataFrame:
-    rows = cohort.first_last_by_type(s.users(), s.orders(), AS_OF)
-    ends = [f"{w}_{k}" for w in ("first", "last") for k in ("retail", "wholesale", "autoship")]
-    return rows.withColumns({f"{e}_order_id": F.col(f"{e}.order_id") for e in ends}).drop(*ends)
-
-
-@query("user_order_metrics")
-def _(s: Star) -> DataFrame:
-    return cohort.user_order_metrics(s.users(), s.orders(), AS_OF)
-
-
-@query("distributor_orders")
-def _(s: Star) -> DataFrame:
-    return cohort.distributor_orders(s.users(), s.orders(), AS_OF)
-
+from tidemark.plans import refine
 
 # ---- versions and refine jobs --------------------------------------------------
 
-FIRST, LAST = "1996-01-01", "1996-12-31"
 RULES = config.Rules(
     {"america": config.PASS_THROUGH, "europe": config.NORMALIZED, "africa": config.NORMALIZED}
 )

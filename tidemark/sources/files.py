@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +16,12 @@ SEQUENCE = r"[-*](\d+)$"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder holds a file."""
+    """Whether the folder is there (Spark checks paths when it resolves a read)."""
     try:
-        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
+        spark.read.schema("value string").text(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
@@ -59,10 +61,6 @@ def with_file_order(lines: DataFrame) -> DataFrame:
     return lines.select("value", name.alias("file_name"), file_sequence(name).alias("file_seq"))
 
 
-class UndecryptableLine(ValueError):
-    pass
-
-
 def decrypt_lines(lines: DataFrame, keys: Sequence[str], on_failure: str = "raise") -> DataFrame:
     """Replace ``value`` by its plain text.
 
