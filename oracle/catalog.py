@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import cohort, refine, tree, usage
+from oracle import assembly, cohort, refine, tree, usage
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -35,4 +35,27 @@ ORACLE: dict[str, str] = {
     "sponsor_edges": tree.sponsor_edges(),
     "direct_sponsor": tree.direct_sponsor(),
     "table_profile": tree.table_profile(),
+    "polymorphic_lookup": assembly.polymorphic_lookup(),
+    "staging_emails": assembly.staging_emails(),
+    "flat_emails": assembly.flat_emails(),
+    "staging_links": assembly.staging_links(),
+    "site_visitors": assembly.site_visitors(),
+    "tasks": assembly.tasks(),
+    "backfill_users": assembly.backfill_users(),
+    "member_types_update": assembly.member_types_update(),
+    "backfill_orders": assembly.backfill_orders(),
+    "orders_from_users_update": assembly.orders_from_users_update(),
+    "order_codes": assembly.order_codes(),
+    "backfill_pii": assembly.backfill_pii(),
+    "commissions": assembly.commissions(),
+    "commissions_nested": assembly.commissions_nested(),
+    "order_items_flat": assembly.order_items_flat(),
+    "demographics": assembly.demographics(),
+    "product_reviews": assembly.product_reviews(),
+    "upsert_by_key": assembly.upsert_by_key(),
+    "next_window": assembly.next_window(),
+    "key_range_read": assembly.key_range_read(),
+    "filtered_export_source": assembly.filtered_export_source(),
+    "text_key_join": assembly.text_key_join(),
+    "rank_fan_out": assembly.rank_fan_out(),
 }

@@ -7,7 +7,7 @@ def view(name: str, sql: str, *needs: str) -> None:
     VIEWS[name] = (list(needs), sql)
 
 
-def with_views(names: list[str], body: str) -> str:
+def with_views(names: list[str], body: str, recursive: bool = False) -> str:
     """``WITH`` clause of the named views and all they need, then the body."""
     done: list[str] = []
 
@@ -21,9 +21,10 @@ def with_views(names: list[str], body: str) -> str:
         add(name)
     clauses = ",\n".join(f"{n} AS ({VIEWS[n][1].strip()})" for n in done)
     body = body.strip()
+    start = "WITH RECURSIVE" if recursive else "WITH"
     if body[:4].upper() == "WITH" and body[4].isspace():
-        return f"WITH {clauses},\n{body[5:]}"
-    return f"WITH {clauses}\n{body}"
+        return f"{start} {clauses},\n{body[5:]}"
+    return f"{start} {clauses}\n{body}"
 
 
 BASE = "TIMESTAMP '1995-01-01 00:00:00'"

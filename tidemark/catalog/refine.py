@@ -18,14 +18,14 @@ RULES = config.Rules(
 )
 
 
-def _tenants(s: Star) -> DataFrame:
+def tenant_table(s: Star) -> DataFrame:
     """Tenant dimension: every region but one, so unknown tenants occur."""
     return s.table("region").filter("r_name <> 'ASIA'").selectExpr(
         "lower(r_name) AS client", "CAST(r_regionkey + 1 AS BIGINT) AS partition_id", "concat('p-', lower(r_name)) AS wrench_id"
     )
 
 
-def _lake(s: Star) -> dict[str, DataFrame]:
+def lake_tables(s: Star) -> dict[str, DataFrame]:
     return {
         "tree_users": s.lake_tree_users(),
         "users": s.lake_users(),
@@ -76,7 +76,7 @@ def _(s: Star) -> DataFrame:
 
 @query("staging_users")
 def _(s: Star) -> DataFrame:
-    return refine.staging_users(_lake(s), _tenants(s), RULES, FIRST, LAST).select(
+    return refine.staging_users(lake_tables(s), tenant_table(s), RULES, FIRST, LAST).select(
         "client_partition_id", "client_wrench_id", "client", "tree_user_id", "user_id", "sponsor_id", "zip", "modified", "client_type",
         "client_status", "client_paid_rank", "client_paid_rank_level", "client_lifetime_rank", "client_lifetime_rank_level",
         "event_id", "type", "status",
@@ -85,7 +85,7 @@ def _(s: Star) -> DataFrame:
 
 @query("staging_orders_nested")
 def _(s: Star) -> DataFrame:
-    rows = refine.staging_orders(_lake(s), _tenants(s), RULES, FIRST, LAST)
+    rows = refine.staging_orders(lake_tables(s), tenant_table(s), RULES, FIRST, LAST)
     return rows.select(
         "client_partition_id", "client", "order_id", "tree_user_id", "client_type", "client_status", "is_autoship", "total", "ingested_at",
         F.coalesce(F.size("products"), F.lit(0)).cast("long").alias("products"),
@@ -97,7 +97,7 @@ def _(s: Star) -> DataFrame:
 
 @query("staging_contacts")
 def _(s: Star) -> DataFrame:
-    rows = refine.staging_contacts(_lake(s), _tenants(s), FIRST, LAST)
+    rows = refine.staging_contacts(lake_tables(s), tenant_table(s), FIRST, LAST)
     return rows.select(
         "client_partition_id", "client", "id", "last_name", "event_id", "owner_tree_user_id", "owner_user_id", "tree_user_id", "user_id",
         F.size("emails").cast("long").alias("emails"),
@@ -111,4 +111,4 @@ def _(s: Star) -> DataFrame:
 
 @query("pii_users")
 def _(s: Star) -> DataFrame:
-    return refine.pii_users(_lake(s), _tenants(s), FIRST, LAST).drop("ingested_at")
+    return refine.pii_users(lake_tables(s), tenant_table(s), FIRST, LAST).drop("ingested_at")
