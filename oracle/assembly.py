@@ -1,7 +1,7 @@
 """Oracle SQL of assemblies, back-fill, updates and flat tables."""
 
 from oracle.cohort import AS_OF
-from oracle.refine import FIRST, LAST, USER_VIEWS, _latest, _users
+from oracle.refine import FIRST, USER_VIEWS, _latest, _users
 from oracle.views import BASE, with_views
 
 T = "europe"
@@ -179,9 +179,9 @@ def key_range_read() -> str:
 
 
 def filtered_export_source() -> str:
-    return with_views(USER_VIEWS, f"""WITH {_users().replace('t.event_id', 't.event_id, t.ingested_at, t.created_date', 1)}
+    return with_views(USER_VIEWS, f"""WITH {_users(AS_OF).replace('t.event_id', 't.event_id, t.ingested_at, t.created_date', 1)}
 SELECT client, tree_user_id, strftime(created_date, '%Y-%m-%d %H:%M:%S.%f') AS created, d AS client_type, strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at
-FROM r WHERE ingested_at BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}' AND tree_user_id % 2 = 0 AND tree_user_id < 3000 AND created_date >= TIMESTAMP '1995-06-01'""")
+FROM r WHERE ingested_at BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{AS_OF}' AND tree_user_id % 2 = 0 AND tree_user_id < 3000 AND created_date >= TIMESTAMP '1995-06-01'""")
 
 
 def text_key_join() -> str:

@@ -5,8 +5,8 @@ from oracle.views import with_views
 FIRST, LAST = "1996-01-01", "1996-12-31"
 
 
-def _between(column: str = "ingested_at") -> str:
-    return f"{column} BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}'"
+def _between(last: str = LAST) -> str:
+    return f"ingested_at BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{last}'"
 
 
 def _latest(table: str, keys: str, order: str = "event_id DESC, ingested_at DESC", where: str = "TRUE") -> str:
@@ -38,8 +38,8 @@ TYPE = """CASE WHEN lower(d) LIKE '%transfer%' THEN 'Distributor' WHEN lower(d)
   WHEN lower(d) = 'employee' THEN 'Autoship' WHEN lower(d) IN ('b2b', 'distributor') THEN 'Distributor' END"""
 
 
-def _users() -> str:
-    return f"""ids AS (SELECT client, id FROM lk_tree_users WHERE {_between()} UNION SELECT client, tree_user_id FROM lk_users WHERE {_between()}),
+def _users(last: str = LAST) -> str:
+    return f"""ids AS (SELECT client, id FROM lk_tree_users WHERE {_between(last)} UNION SELECT client, tree_user_id FROM lk_users WHERE {_between(last)}),
 t AS {_latest('lk_tree_users', 'client, id')},
 ty AS {_latest('lk_user_types', 'client, id')}, st AS {_latest('lk_user_statuses', 'client, id')},
 r AS (SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, t.id AS tree_user_id, u.id AS user_id, t.sponsor_id, t.zip, t.updated_date AS modified,

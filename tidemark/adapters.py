@@ -7,6 +7,8 @@ is a projection or join of whole tables, so the work grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,14 @@ class Star:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+        self._customers: int | None = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is read from the files once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # ---- staging views -------------------------------------------------
 
@@ -46,8 +53,10 @@ class Star:
         )
 
     def customer_count(self) -> int:
-        """Answered from parquet metadata."""
-        return self.table("customer").count()
+        """Answered from parquet metadata, once."""
+        if self._customers is None:
+            self._customers = self.table("customer").count()
+        return self._customers
 
     def orders(self) -> DataFrame:
         return self.table("orders").selectExpr(
@@ -329,3 +338,34 @@ class Star:
         return self._described(["Friend", "Family", "Work"], stale="first name").withColumnRenamed(
             "description", "category_name"
         )
+
+
+class Lake(Mapping[str, DataFrame]):
+    """Lake tables by name, each built when a job asks for it."""
+
+    def __init__(self, star: Star):
+        self._makers = {
+            "tree_users": star.lake_tree_users,
+            "users": star.lake_users,
+            "tree_user_types": star.lake_user_types,
+            "tree_user_statuses": star.lake_user_statuses,
+            "pyr_rank_definitions": star.lake_ranks,
+            "tree_orders": star.lake_orders,
+            "tree_order_items": star.lake_order_items,
+            "tree_order_types": star.lake_order_types,
+            "tree_order_statuses": star.lake_order_statuses,
+            "pyr_contacts": star.lake_contacts,
+            "pyr_contact_emails": star.lake_contact_emails,
+            "pyr_contact_phone_numbers": star.lake_contact_phones,
+            "pyr_contacts_contact_categories": star.lake_contact_category_links,
+            "pyr_contact_categories": star.lake_contact_categories,
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)

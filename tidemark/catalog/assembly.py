@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.adapters import Star
-from tidemark.catalog.base import AS_OF, FIRST, LAST, query
+from tidemark.catalog.base import AS_OF, FIRST, query
 from tidemark.catalog.refine import lake_tables, tenant_table
 from tidemark.operators import changes, joins, versions
 from tidemark.plans import assembly, incremental, refine
@@ -277,8 +277,8 @@ def _(s: Star) -> DataFrame:
 
 @query("filtered_export_source")
 def _(s: Star) -> DataFrame:
-    rows = refine.refined_users(lake_tables(s), tenant_table(s), FIRST, LAST)
-    some = tables.filtered(rows, (FIRST, LAST), list(range(0, 3000, 2)), "1995-06-01", tables={"staging.users": "created"}, table="staging.users")
+    rows = refine.refined_users(lake_tables(s), tenant_table(s), FIRST, AS_OF)
+    some = tables.filtered(rows, (FIRST, AS_OF), list(range(0, 3000, 2)), "1995-06-01", tables={"staging.users": "created"}, table="staging.users")
     return some.select("client", "tree_user_id", "created", "client_type", "ingested_at")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config
-from tidemark.adapters import Star
+from tidemark.adapters import Lake, Star
 from tidemark.catalog.base import FIRST, LAST, query
 from tidemark.operators import versions
 from tidemark.plans import refine
@@ -25,23 +25,8 @@ def tenant_table(s: Star) -> DataFrame:
     )
 
 
-def lake_tables(s: Star) -> dict[str, DataFrame]:
-    return {
-        "tree_users": s.lake_tree_users(),
-        "users": s.lake_users(),
-        "tree_user_types": s.lake_user_types(),
-        "tree_user_statuses": s.lake_user_statuses(),
-        "pyr_rank_definitions": s.lake_ranks(),
-        "tree_orders": s.lake_orders(),
-        "tree_order_items": s.lake_order_items(),
-        "tree_order_types": s.lake_order_types(),
-        "tree_order_statuses": s.lake_order_statuses(),
-        "pyr_contacts": s.lake_contacts(),
-        "pyr_contact_emails": s.lake_contact_emails(),
-        "pyr_contact_phone_numbers": s.lake_contact_phones(),
-        "pyr_contacts_contact_categories": s.lake_contact_category_links(),
-        "pyr_contact_categories": s.lake_contact_categories(),
-    }
+def lake_tables(s: Star) -> Lake:
+    return Lake(s)
 
 
 @query("latest_version")
