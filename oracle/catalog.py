@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import assembly, cohort, refine, tree, usage
+from oracle import assembly, cohort, ingest, models, refine, tree, usage
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -58,4 +58,19 @@ ORACLE: dict[str, str] = {
     "filtered_export_source": assembly.filtered_export_source(),
     "text_key_join": assembly.text_key_join(),
     "rank_fan_out": assembly.rank_fan_out(),
+    "encrypt_decrypt_roundtrip": ingest.documents(),
+    "file_stream_ingest": ingest.documents(),
+    "compress_roundtrip": ingest.compress_roundtrip(),
+    "csv_ingest": ingest.csv_ingest(),
+    "json_export": ingest.json_export(),
+    "export_files": ingest.export_files(),
+    "zero_date_scrub": ingest.zero_date_scrub(),
+    "temporal_coercion": ingest.temporal_coercion(),
+    "replay_upsert": ingest.replay_upsert(),
+    "bounded_batches": ingest.bounded_batches(),
+    "tokens": models.tokens(),
+    "lemmas": models.lemmas(),
+    "phrases": models.phrases(),
+    "phrase_tokens": models.phrase_tokens(),
+    "document_terms": models.document_terms(),
 }

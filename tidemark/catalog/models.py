@@ -1,0 +1,109 @@
+"""Text and recommender jobs on the given texts and ratings."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.adapters import Star
+from tidemark.catalog.base import query
+from tidemark.plans import recommend, topics
+from tidemark.session import cut
+
+
+def _profile(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.size("tokens").cast("long").alias("n"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+
+
+@query("tokens")
+def _(s: Star) -> DataFrame:
+    return _profile(topics.tokenized(s.table("documents").select("doc_id", "text")))
+
+
+def _grouped(s: Star) -> DataFrame:
+    """Tokens of the labelled documents, computed once."""
+    return cut(topics.tokenized(s.documents_by_quality()), "tokens")
+
+
+@query("phrases")
+def _(s: Star) -> DataFrame:
+    return topics.phrase_table(_grouped(s))
+
+
+@query("phrase_tokens")
+def _(s: Star) -> DataFrame:
+    docs = _grouped(s)
+    return _profile(topics.join_phrases(docs, topics.phrase_table(docs)))
+
+
+@query("lemmas")
+def _(s: Star) -> DataFrame:
+    """Plural forms replaced where the singular occurs among the words as well."""
+    docs = topics.tokenized(s.table("documents").select("doc_id", "text"))
+    words = docs.select(F.explode("tokens").alias("w")).distinct()
+    forms = words.filter(F.col("w").endswith("s")).select(F.col("w").alias("form"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma"))
+    known = forms.join(words.withColumnRenamed("w", "lemma"), "lemma", "left_semi")
+    return _profile(topics.tokenized(s.table("documents").select("doc_id", "text"), known))
+
+
+def _bags(s: Star, docs: DataFrame):
+    words = topics.dictionary(docs)
+    return words, words.transform(docs)
+
+
+@query("document_terms")
+def _(s: Star) -> DataFrame:
+    """Dictionary terms with the number of documents they occur in, per group."""
+    docs = _grouped(s)
+    words, _ = _bags(s, docs)
+    each = docs.select("quality", F.explode(F.array_distinct("tokens")).alias("term"))
+    counted = each.groupBy("quality", "term").agg(F.count("*").alias("documents"))
+    return counted.join(topics.vocabulary(words).select("term"), "term", "left_semi")
+
+
+def _topics(s: Star, docs: DataFrame, tfidf: bool) -> DataFrame:
+    words, bags = _bags(s, docs)
+    found = None
+    for group in (1, 0):
+        rows = bags.filter(F.col("quality") == group)
+        column = "tfidf" if tfidf else "bow"
+        rows = topics.with_tfidf(rows) if tfidf else rows
+        terms = topics.topic_terms(topics.topic_model(rows, column), words).withColumn("quality", F.lit(group))
+        found = terms if found is None else found.unionByName(terms)
+    return found
+
+
+@query("topic_terms")
+def _(s: Star) -> DataFrame:
+    return _topics(s, _grouped(s), tfidf=False)
+
+
+@query("topic_terms_tfidf")
+def _(s: Star) -> DataFrame:
+    return _topics(s, _grouped(s), tfidf=True)
+
+
+@query("phrase_topics")
+def _(s: Star) -> DataFrame:
+    docs = _grouped(s)
+    return _topics(s, cut(topics.join_phrases(docs, topics.phrase_table(docs)), "phrases"), tfidf=True)
+
+
+@query("document_topics")
+def _(s: Star) -> DataFrame:
+    docs = _grouped(s)
+    _, bags = _bags(s, docs)
+    rows = bags.filter("quality = 1")
+    return topics.best_topics(topics.topic_model(rows), rows)
+
+
+@query("recommender_folds")
+def _(s: Star) -> DataFrame:
+    rmse, _ = recommend.cross_validate(cut(s.ratings(), "ratings"))
+    return s.spark.sql("SELECT posexplode(:rmse) AS (fold, rmse)", args={"rmse": rmse})
+
+
+@query("recommender_topn")
+def _(s: Star) -> DataFrame:
+    _, predictions = recommend.cross_validate(cut(s.ratings(), "ratings"))
+    return recommend.top_n(predictions)
