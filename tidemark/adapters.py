@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.nesting import nest_children
+from tidemark.session import spread
 
 
 class Star:
@@ -29,6 +30,13 @@ class Star:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def documents(self) -> DataFrame:
+        """Texts, spread over the cores before they are parsed or compressed."""
+        return spread(self.table("documents"), "doc_id")
+
+    def items(self) -> DataFrame:
+        return spread(self.table("lineitem"), "l_orderkey")
+
     # ---- staging views -------------------------------------------------
 
     def customers_with_tenant(self) -> DataFrame:
@@ -75,7 +83,7 @@ class Star:
 
     def order_items(self) -> DataFrame:
         """Latest-version-ready order items: key (order_id, line), version columns last."""
-        return self.table("lineitem").selectExpr(
+        return self.items().selectExpr(
             "l_orderkey AS order_id", "l_linenumber AS line", "l_partkey AS product_id", "l_suppkey AS supplier_id",
             "CAST(l_quantity AS BIGINT) AS quantity", "CAST(l_extendedprice AS DECIMAL(19,4)) AS price_total",
             "l_shipdate AS shipped",
@@ -139,7 +147,7 @@ class Star:
 
     def documents_by_quality(self) -> DataFrame:
         """Texts in the two groups (quality 1 / 0) of the topic models."""
-        return self.table("documents").select("doc_id", "text").join(
+        return self.documents().select("doc_id", "text").join(
             self.table("labels").select("doc_id", "quality"), "doc_id"
         )
 
@@ -264,7 +272,7 @@ class Star:
         tenants = self._order_tenants().select("o_orderkey", "client")
         part = self.table("part").selectExpr("p_partkey", "p_brand", "concat(p_name, ' ', p_type) AS product_description")
         zero = "CAST(0 AS DECIMAL(19,4))"
-        return self.table("lineitem").join(tenants, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        return self.items().join(tenants, F.col("l_orderkey") == F.col("o_orderkey")).join(
             part, F.col("l_partkey") == F.col("p_partkey")
         ).selectExpr(
             "client",

@@ -46,7 +46,7 @@ def _document_lines(s: Star) -> DataFrame:
             "doc_id", "text", "lang", F.lit("2019-01-26T17:34:26.000Z").alias("read_at"),
         )
     )
-    return s.table("documents").select(codec.encrypt_line(record, NEW_KEY).alias("value"))
+    return s.documents().select(codec.encrypt_line(record, NEW_KEY).alias("value"))
 
 
 def _document_profile(rows: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def _(s: Star) -> DataFrame:
 
 @query("compress_roundtrip")
 def _(s: Star) -> DataFrame:
-    packed = clean.clean_relational(s.table("documents").select("doc_id", "text"))
+    packed = clean.clean_relational(s.documents().select("doc_id", "text"))
     restored = codec.inflate_text(F.col("text"))
     longer = s.table("documents").select("doc_id", F.length("text").alias("n"))
     return packed.select("doc_id", F.md5(restored).alias("text_md5"), (F.length("text")).alias("packed")).join(longer, "doc_id").select(

@@ -17,7 +17,7 @@ def _profile(docs: DataFrame) -> DataFrame:
 
 @query("tokens")
 def _(s: Star) -> DataFrame:
-    return _profile(topics.tokenized(s.table("documents").select("doc_id", "text")))
+    return _profile(topics.tokenized(s.documents().select("doc_id", "text")))
 
 
 def _grouped(s: Star) -> DataFrame:
@@ -39,23 +39,24 @@ def _(s: Star) -> DataFrame:
 @query("lemmas")
 def _(s: Star) -> DataFrame:
     """Plural forms replaced where the singular occurs among the words as well."""
-    docs = topics.tokenized(s.table("documents").select("doc_id", "text"))
+    docs = cut(topics.tokenized(s.documents().select("doc_id", "text")), "tokens")
     words = docs.select(F.explode("tokens").alias("w")).distinct()
     forms = words.filter(F.col("w").endswith("s")).select(F.col("w").alias("form"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma"))
     known = forms.join(words.withColumnRenamed("w", "lemma"), "lemma", "left_semi")
-    return _profile(topics.tokenized(s.table("documents").select("doc_id", "text"), known))
+    return _profile(topics.lemmatized(docs, known))
 
 
 def _bags(s: Star, docs: DataFrame):
+    """Dictionary over all groups, and the word counts written once for the iterations."""
     words = topics.dictionary(docs)
-    return words, words.transform(docs)
+    return words, cut(words.transform(docs).drop("tokens"), "bags")
 
 
 @query("document_terms")
 def _(s: Star) -> DataFrame:
     """Dictionary terms with the number of documents they occur in, per group."""
     docs = _grouped(s)
-    words, _ = _bags(s, docs)
+    words = topics.dictionary(docs)
     each = docs.select("quality", F.explode(F.array_distinct("tokens")).alias("term"))
     counted = each.groupBy("quality", "term").agg(F.count("*").alias("documents"))
     return counted.join(topics.vocabulary(words).select("term"), "term", "left_semi")

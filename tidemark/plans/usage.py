@@ -9,6 +9,7 @@ from tidemark.functions.dates import days_between
 from tidemark.functions.rules import PLATFORM_FAMILIES, platform_is
 from tidemark.operators.aggregates import count_if
 from tidemark.plans.cohort import signups, user_order_features
+from tidemark.session import cut
 
 FIRST_ORDERS = ("retail", "wholesale", "autoship")
 MESSAGE_KEY = ["sender_tree_user_id", "message_id", "created", "sent"]
@@ -118,8 +119,11 @@ def login_counts(users: DataFrame, logins: DataFrame, features: DataFrame, user_
 def usage_features(
     users: DataFrame, orders: DataFrame, messages: DataFrame, logins: DataFrame, as_of, user_type: str = "Distributor", client: str | None = None
 ) -> DataFrame:
-    """Order metrics, first/last days, engagement and logins: one row per user with orders."""
-    features = user_order_features(users, orders, as_of, user_type, client)
+    """Order metrics, first/last days, engagement and logins: one row per user with orders.
+
+    The order features are used three times, so they are written once.
+    """
+    features = cut(user_order_features(users, orders, as_of, user_type, client), "features")
     sent = engagement(users, messages, features, user_type, client).withColumnRenamed("sender_tree_user_id", "commission_user_id")
     visits = login_counts(users, logins, features, user_type, client).withColumnRenamed("tree_user_id", "commission_user_id")
     records = [f"{w}_{k}" for w in ("first", "last") for k in FIRST_ORDERS]

@@ -67,6 +67,17 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a source scan at least as many partitions as there are cores.
+
+    A file with one row group is one task, whatever its size. Only where the scan
+    has too few partitions is it shuffled, before costly work per row; tables of
+    many files stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema) -> DataFrame:
     """A small configuration table whose size Spark knows (a local relation)."""
     import pyarrow as pa
