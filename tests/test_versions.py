@@ -1,7 +1,7 @@
 import pytest
 
 from tidemark.operators import changes, versions
-from tidemark.operators.nesting import nest_children, nest_many
+from tidemark.operators.nesting import Child, nest_children, nest_many
 
 VERSION = "client string, id long, event_id string, ingested_at timestamp_ntz, name string"
 
@@ -42,6 +42,15 @@ def test_window_bounds(people):
     assert names(half_open) == [("north", 1, "Anna")]
 
 
+def test_window_prunes_day_partitions(spark, people, tmp_path):
+    from pyspark.sql import functions as F
+
+    people.withColumn("ingest_date", F.to_date("ingested_at")).write.partitionBy("ingest_date").parquet(str(tmp_path / "lake"))
+    window = versions.in_window(spark.read.parquet(str(tmp_path / "lake")), "2020-02-01", "2020-03-01 12:00:00")
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert window.count() == 2 and "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
 def test_window_finds_ids_but_history_is_ranked(people):
     ids = versions.changed_ids([(people, "id")], "id", "2020-06-01", "2020-06-01")
     assert names(versions.current_state(people, ids, "id", "id")) == [("north", 3, "Cy")]
@@ -89,7 +98,7 @@ def test_crowded_parents_are_split_and_whole(frame):
 def test_child_tables_share_one_grouping(frame):
     a = frame("p long, x long", *[(1, i) for i in range(25)], (2, 7))
     b = frame("p long, y string", (1, "u"), (3, "w"))
-    rows = nest_many({"xs": (a, ["x"], ["x"]), "ys": (b, ["y"], ["y"])}, ["p"], limit=10).collect()
+    rows = nest_many({"xs": Child(a, ["x"], ["x"]), "ys": Child(b, ["y"], ["y"])}, ["p"], limit=10).collect()
     assert {(r["p"], r["n_xs"], r["n_ys"]) for r in rows} == {(1, 25, 1), (2, 1, 0), (3, 0, 1)}
     assert sum(len(r["xs"]) for r in rows if r["p"] == 1) == 25
     assert sum(len(r["ys"]) for r in rows if r["p"] == 1) == 1

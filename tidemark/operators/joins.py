@@ -79,6 +79,17 @@ def polymorphic_lookup(
     return df.join(union, on, "left").drop("_kind", "_ref", *(f"_x_{c}" for c in extra))
 
 
+def keep_all(one: DataFrame, many: DataFrame, on: str) -> DataFrame:
+    """Left join of rows with their many partners, as inner join plus lonely rows.
+
+    An outer join cannot be split on its optional side, so one row with a large
+    part of all partners would be one task; the inner join can.
+    """
+    matched = one.join(many, on)
+    lonely = one.join(many.select(on).distinct(), on, "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
 def without_match(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Anti-join: rows of ``df`` that have no partner."""
     return df.join(other, on, "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,33 +13,45 @@ from pyspark.sql import functions as F
 # hold an unbounded array and no child is lost.
 CHILD_LIMIT = 100_000
 
-Child = tuple[DataFrame, Sequence[str | Column], Sequence[str]]
+@dataclass(frozen=True)
+class Child:
+    """Rows to nest, the fields of one element, and the columns that identify a child.
+
+    ``versions`` are rows the children are taken from. Where given they are
+    counted in place of the children: the key columns of the scan are enough then,
+    and the ranking of versions runs once.
+    """
+
+    rows: DataFrame
+    fields: Sequence[str | Column]
+    ids: Sequence[str] = ()
+    versions: DataFrame | None = None
 
 
 def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | None = CHILD_LIMIT, part: str = "part") -> DataFrame:
     """``(keys, part, parts, one sorted array<struct> and one n_<name> per child table)``.
 
-    ``children`` maps the array's name to (rows, fields, id columns). All child
-    tables go through one grouping. Parents above ``limit`` are found by a
-    map-side count first; their children are spread over ``ceil(count / limit)``
+    All child tables go through one grouping. Parents above ``limit`` are found by
+    a map-side count first; their children are spread over ``ceil(count / limit)``
     parts by a hash of the child's id (of its fields where no id is named). All
-    other parents have the single part 0. ``n_<name>`` counts over all parts.
+    other parents have the single part 0. ``n_<name>`` counts over all parts (of a
+    crowded parent: its versions, where those were counted).
     """
     names = list(children)
-    tagged = []
-    for name, (df, fields, ids) in children.items():
-        # typed NULLs for the other tables come with the union below
-        tagged.append(
-            df.select(
-                *keys, F.struct(*fields).alias(name), F.xxhash64(*(ids or [F.struct(*fields)])).alias("_hash")
-            )
-        )
-    rows = tagged[0] if len(tagged) == 1 else _union_by_name(tagged)
+    rows = _union_by_name(
+        [
+            c.rows.select(*keys, F.struct(*c.fields).alias(n), F.xxhash64(*(c.ids or [F.struct(*c.fields)])).alias("_hash"))
+            for n, c in children.items()
+        ]
+    )
     if limit is None:
         spread = rows.withColumn(part, F.lit(0))
         totals = [F.lit(1).alias("parts")]
     else:
-        counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.count(n).alias(f"_n_{n}") for n in names))
+        counted = _union_by_name(
+            [(c.rows if c.versions is None else c.versions).select(*keys, F.lit(1).alias(f"_n_{n}")) for n, c in children.items()]
+        )
+        counts = counted.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.count(f"_n_{n}").alias(f"_n_{n}") for n in names))
         crowded = counts.filter(F.col("_n") > limit)
         spread = rows.join(crowded, list(keys), "left").withColumn(
             part,
@@ -62,10 +75,10 @@ def _union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 def nest_children(
     df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str, limit: int | None = CHILD_LIMIT,
-    ids: Sequence[str] = (),
+    ids: Sequence[str] = (), versions: DataFrame | None = None,
 ) -> DataFrame:
     """One child table: ``(keys, part, parts, name array<struct<fields>>)``."""
-    return nest_many({name: (df, fields, ids)}, keys, limit).drop(f"n_{name}")
+    return nest_many({name: Child(df, fields, ids, versions)}, keys, limit).drop(f"n_{name}")
 
 
 def unnest(df: DataFrame, array: str, alias: str) -> DataFrame:

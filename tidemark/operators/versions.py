@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 TENANT = "client"
 EVENT = "event_id"
 INGESTED = "ingested_at"
+# Partition column of lake tables: the day of ``ingested_at``.
+INGEST_DAY = "ingest_date"
 
 
 def newest_first() -> list[Column]:
@@ -35,11 +37,17 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
 
 
 def in_window(df: DataFrame, first, last, column: str = INGESTED, lower_inclusive: bool = True) -> DataFrame:
-    """Rows ingested in ``[first, last]``, or ``(first, last]``."""
+    """Rows ingested in ``[first, last]``, or ``(first, last]``.
+
+    On a table partitioned by ``ingest_date`` only the window's days are read.
+    """
     kind = df.schema[column].dataType
     low, high = F.lit(first).cast(kind), F.lit(last).cast(kind)
     moment = F.col(column)
-    return df.filter((moment >= low if lower_inclusive else moment > low) & (moment <= high))
+    rows = df.filter((moment >= low if lower_inclusive else moment > low) & (moment <= high))
+    if INGEST_DAY in df.columns:
+        rows = rows.filter(F.col(INGEST_DAY).between(low.cast("date"), high.cast("date")))
+    return rows
 
 
 def union_all(frames: Iterable[DataFrame], distinct: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from tidemark.config import PLACEHOLDER
 from tidemark.functions.clean import EPOCH_EVENT
 from tidemark.functions.dates import complete_units
 from tidemark.functions.rules import flag, gender, street
-from tidemark.operators.joins import attach_tenant, join_on_number, lookup, polymorphic_lookup, with_tenant
+from tidemark.operators.joins import attach_tenant, join_on_number, keep_all, lookup, polymorphic_lookup, with_tenant
 from tidemark.operators.nesting import CHILD_LIMIT, nest_children
 from tidemark.plans.refine import ITEM_SHIPPING, ORDER_FIELDS, PRODUCT_FIELDS
 from tidemark.plans.rules import coded_order_type, coded_owner
@@ -105,7 +105,7 @@ def flat_emails(messages: DataFrame, recipients: DataFrame, users: DataFrame, co
     rows = rows.select(
         F.col("sender_tree_user_id").alias("message_tree_user_id"), F.col("id").alias("message_id"), *_renamed(rows, MESSAGE_COLUMNS)
     )
-    return rows.join(to, "message_id", "left")
+    return keep_all(rows, to, "message_id")
 
 
 RESOURCE = {"id": "resource_id", "title": "title", "created_at": "created", "updated_at": "resource_updated", "expiry_date": "resource_expires"}
@@ -148,7 +148,7 @@ def site_visitors(sites: DataFrame, visitors: DataFrame, users: DataFrame, track
     owned = join_on_number(sites.select(F.col("id").alias("site_id"), F.col("user_id").alias("_owner")), owners, "_owner", "user_id").drop("_owner")
     visits = visitors.select("site_id", "visitor_id", "last_visit_date", "visit_count", "ipaddress", "browser_agent", "created_at")
     codes = tracking.select("user_id", "third_party_tracking_company", "tracking_code")
-    rows = owned.join(visits, "site_id", "left").join(codes, "user_id", "left")
+    rows = keep_all(owned, visits, "site_id").join(codes, "user_id", "left")
     return rows if tenant is None else rows.withColumn("client", F.lit(tenant))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Rules
 from tidemark.functions.rules import flag, gender, street
 from tidemark.operators.joins import lookup, lookup_latest, with_tenant
-from tidemark.operators.nesting import CHILD_LIMIT, nest_children, nest_many
+from tidemark.operators.nesting import CHILD_LIMIT, Child, nest_children, nest_many
 from tidemark.operators.versions import changed_ids, current_state, earliest_event, history_of, in_window, latest_by
 from tidemark.plans.rules import order_rules, user_rules
 
@@ -77,9 +77,10 @@ def refined_orders(lake: Lake, tenants: DataFrame, first, last, type_needs_user:
     """
     ids = changed_ids([(lake["tree_orders"], "id"), (lake["tree_order_items"], "order_id")], "order_id", first, last)
     orders = current_state(lake["tree_orders"], ids, "id", "order_id")
-    items = current_state(lake["tree_order_items"], ids, "order_id", "order_id", ["client", "id"])
+    item_versions = history_of(lake["tree_order_items"], ids, "order_id", "order_id")
+    items = latest_by(item_versions, ["client", "id"])
     fields = [*PRODUCT_FIELDS, *(F.col(c).alias(f"item_{c}") for c in ITEM_SHIPPING)]
-    products = nest_children(items, ["client", "order_id"], fields, "products", child_limit, ids=["id"])
+    products = nest_children(items, ["client", "order_id"], fields, "products", child_limit, ["id"], item_versions)
     rows = lookup(
         with_tenant(orders, tenants), products, {"client": "client", "id": "order_id"}, {"products": "products", "part": "part"}
     ).withColumn("part", F.coalesce("part", F.lit(0)))
@@ -136,10 +137,8 @@ def staging_contacts(
     )
     key = ["client", "contact_id"]
     contacts = current_state(lake["pyr_contacts"], ids, "id", "contact_id")
-    emails = current_state(lake["pyr_contact_emails"], ids, "contact_id", "contact_id", [*key, "email"])
-    phones = current_state(
-        lake["pyr_contact_phone_numbers"], ids, "contact_id", "contact_id", [*key, "unformatted_phone_number"]
-    )
+    emails = lake["pyr_contact_emails"].join(ids, key, "left_semi")
+    phones = lake["pyr_contact_phone_numbers"].join(ids, key, "left_semi")
     # the earliest event names a category; links without one do not take part in the ranking
     names = latest_by(lake["pyr_contact_categories"], ["client", "id"], earliest_event()).select(
         "client", F.col("id").alias("contact_category_id"), F.col("category_name").alias("category")
@@ -147,11 +146,16 @@ def staging_contacts(
     links = lake["pyr_contacts_contact_categories"].join(ids, key, "left_semi").join(names, ["client", "contact_category_id"])
     children = nest_many(
         {
-            "emails": (emails, ["email", "preferred", "undeliverable_count", "spam_reported_count", "source"], ["id"]),
-            "phone_numbers": (
-                phones, ["phone_number", "label", "unformatted_phone_number", "source", "dialing_code"], ["id"]
+            "emails": Child(
+                latest_by(emails, [*key, "email"]),
+                ["email", "preferred", "undeliverable_count", "spam_reported_count", "source"], ["id"], emails,
+            ),
+            "phone_numbers": Child(
+                latest_by(phones, [*key, "unformatted_phone_number"]),
+                ["phone_number", "label", "unformatted_phone_number", "source", "dialing_code"], ["id"], phones,
             ),
-            "categories": (latest_by(links, key), ["category", "created_at", "updated_at"], ["id"]),
+            # one link per contact is left
+            "categories": Child(latest_by(links, key), ["category", "created_at", "updated_at"], ["id"]),
         },
         key, child_limit,
     )

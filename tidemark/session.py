@@ -19,6 +19,9 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where that costs one more shuffle of partial aggregates
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # streaming state off the heap, its changes kept with the checkpoint
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
