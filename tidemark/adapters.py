@@ -34,9 +34,6 @@ class Star:
         """Texts, spread over the cores before they are parsed or compressed."""
         return spread(self.table("documents"), "doc_id")
 
-    def items(self) -> DataFrame:
-        return spread(self.table("lineitem"), "l_orderkey")
-
     # ---- staging views -------------------------------------------------
 
     def customers_with_tenant(self) -> DataFrame:
@@ -45,7 +42,8 @@ class Star:
         place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
             "n_nationkey", "n_name", "r_name", "lower(r_name) AS client"
         )
-        return self.table("customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+        # nation and region have 25 and 5 rows at every scale factor
+        return self.table("customer").join(F.broadcast(place), F.col("c_nationkey") == F.col("n_nationkey"))
 
     def users(self) -> DataFrame:
         return self.customers_with_tenant().selectExpr(
@@ -60,6 +58,15 @@ class Star:
             "n_name AS country",
         )
 
+    @staticmethod
+    def _large(df: DataFrame) -> DataFrame:
+        """Side of a join of two tables that both grow.
+
+        Estimates multiply along joins, so on small data Spark would broadcast the
+        larger table and stream the smaller through one task.
+        """
+        return df.hint("merge")
+
     def customer_count(self) -> int:
         """Answered from parquet metadata, once."""
         if self._customers is None:
@@ -83,7 +90,7 @@ class Star:
 
     def order_items(self) -> DataFrame:
         """Latest-version-ready order items: key (order_id, line), version columns last."""
-        return self.items().selectExpr(
+        return self.table("lineitem").selectExpr(
             "l_orderkey AS order_id", "l_linenumber AS line", "l_partkey AS product_id", "l_suppkey AS supplier_id",
             "CAST(l_quantity AS BIGINT) AS quantity", "CAST(l_extendedprice AS DECIMAL(19,4)) AS price_total",
             "l_shipdate AS shipped",
@@ -99,8 +106,8 @@ class Star:
         )
         return (
             self.order_items()
-            .join(self.orders().select("order_id", "tree_user_id", "status", "order_date"), "order_id")
-            .join(part, "product_id")
+            .join(self._large(self.orders().select("order_id", "tree_user_id", "status", "order_date")), "order_id")
+            .join(self._large(part), "product_id")
         )
 
     def logins(self) -> DataFrame:
@@ -148,13 +155,13 @@ class Star:
     def documents_by_quality(self) -> DataFrame:
         """Texts in the two groups (quality 1 / 0) of the topic models."""
         return self.documents().select("doc_id", "text").join(
-            self.table("labels").select("doc_id", "quality"), "doc_id"
+            self._large(self.table("labels").select("doc_id", "quality")), "doc_id"
         )
 
     def ratings(self) -> DataFrame:
         """Latest rating 1..5 per (user, product)."""
         return self.table("lineitem").join(
-            self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
+            self._large(self.table("orders").select("o_orderkey", "o_custkey")), F.col("l_orderkey") == F.col("o_orderkey")
         ).groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("product_id")).agg(
             F.max_by(
                 F.expr("CAST(1 + CAST(l_quantity AS BIGINT) % 5 AS INT)"),
@@ -203,7 +210,7 @@ class Star:
     def lake_tree_users(self) -> DataFrame:
         """A user change per order of the customer."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-        return self.customers_with_tenant().join(orders, F.col("c_custkey") == F.col("o_custkey")).selectExpr(
+        return self.customers_with_tenant().join(self._large(orders), F.col("c_custkey") == F.col("o_custkey")).selectExpr(
             "client",
             "concat('z/', date_format(o_orderdate, 'yyyy/MM/dd/HH/mm'), '/', lpad(CAST(o_orderkey AS STRING), 13, '0'), '-0000000') AS event_id",
             "timestampadd(DAY, o_orderkey % 3, o_orderdate) AS ingested_at",
@@ -237,7 +244,7 @@ class Star:
 
     def _order_tenants(self) -> DataFrame:
         return self.table("orders").join(
-            self.customers_with_tenant().select("c_custkey", "client"), F.col("o_custkey") == F.col("c_custkey")
+            self._large(self.customers_with_tenant().select("c_custkey", "client")), F.col("o_custkey") == F.col("c_custkey")
         )
 
     def lake_orders(self) -> DataFrame:
@@ -272,8 +279,8 @@ class Star:
         tenants = self._order_tenants().select("o_orderkey", "client")
         part = self.table("part").selectExpr("p_partkey", "p_brand", "concat(p_name, ' ', p_type) AS product_description")
         zero = "CAST(0 AS DECIMAL(19,4))"
-        return self.items().join(tenants, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            part, F.col("l_partkey") == F.col("p_partkey")
+        return self.table("lineitem").join(self._large(tenants), F.col("l_orderkey") == F.col("o_orderkey")).join(
+            self._large(part), F.col("l_partkey") == F.col("p_partkey")
         ).selectExpr(
             "client",
             "concat('z/', date_format(l_shipdate, 'yyyy/MM/dd/HH/mm'), '/', lpad(CAST(l_partkey AS STRING), 12, '0'), '-',"
@@ -313,7 +320,7 @@ class Star:
     def lake_contact_emails(self) -> DataFrame:
         """Change records of contact e-mails: one per event of the contact."""
         tenants = self.customers_with_tenant().select("c_custkey", "client")
-        return self.table("events").join(tenants, F.col("user_id") == F.col("c_custkey")).selectExpr(
+        return self.table("events").join(self._large(tenants), F.col("user_id") == F.col("c_custkey")).selectExpr(
             "client",
             "concat('z/', lpad(CAST(event_id AS STRING), 13, '0')) AS event_id",
             "ts - INTERVAL 29 YEARS AS ingested_at",
