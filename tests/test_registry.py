@@ -6,6 +6,8 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from oracle.catalog import ORACLE
+from tidemark.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
@@ -19,14 +21,14 @@ def duck():
 
 
 def test_names():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY and set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY and set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ROWS_ONLY))
 def test_matches_oracle(spark, duck, name):
     result = check.compare(spark, duck, FOLDER, name)
     assert result.startswith("ok"), result
