@@ -13,6 +13,8 @@ from tidemark.llm import grams, sampling, words
 
 SAMPLE_DOCS = 5000
 TRIGRAM_BUCKETS = 1024
+#: Gain of each kind of standardised feature: the few dense ones are not to drown in the many hashed ones.
+GAINS = ((256, 1.0), (TRIGRAM_BUCKETS, 0.1), (4, 3.0))
 EPOCHS, BATCH, RATE, DECAY = 40, 250, 0.003, 1e-3
 THRESHOLD = 0.3
 
@@ -36,14 +38,18 @@ def featurize(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
-    """Share of positives among the unlabelled by the best-bin rule: the smallest ratio, over score thresholds, of
-    the tail shares of unlabelled and held-back positive scores, with a bound for chance added to each ratio."""
+    """Lower confidence limit of the share of positives among the unlabelled, by the best-bin rule.
+
+    The ratio of the tail shares of unlabelled and held-back positive scores bounds the share from above at every
+    threshold; the threshold with the smallest upper limit is taken. The lower limit there is returned, since a prior
+    above the truth lets the clipped risk take the kind of bad text nearest to good text for positive.
+    """
     cuts = np.sort(positive)
     tail_p = 1 - np.searchsorted(cuts, cuts, "left") / len(cuts)
     tail_u = 1 - np.searchsorted(np.sort(unlabelled), cuts, "left") / len(unlabelled)
     chance = np.sqrt(np.log(4 / confidence) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
     best = np.argmin((tail_u + chance) / tail_p)
-    return float(np.clip(tail_u[best] / tail_p[best], 0.01, 0.99))
+    return float(np.clip((tail_u[best] - chance) / tail_p[best], 0.05, 0.99))
 
 
 def _sigmoid(t: np.ndarray) -> np.ndarray:
@@ -51,12 +57,13 @@ def _sigmoid(t: np.ndarray) -> np.ndarray:
 
 
 def minimise_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear score under the non-negative risk with the logistic loss.
+    """Weights and bias of a linear score of standardised features under the non-negative risk with the logistic loss.
 
     The risk is ``prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)])``. A batch whose second part is negative
     takes a step that raises it, as the estimator prescribes.
     """
-    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-2
+    gain = np.concatenate([np.full(n, g, np.float32) for n, g in GAINS])
+    mean, scale = unlabelled.mean(0), (unlabelled.std(0) + 1e-2) / (gain if len(gain) == unlabelled.shape[1] else 1)
     p, u = (positive - mean) / scale, (unlabelled - mean) / scale
     w, b, t = np.zeros(p.shape[1]), 0.0, 0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
