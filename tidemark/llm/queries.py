@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, exact, language, quality, token_counts, warc
+from tidemark.llm import chat, decontaminate, exact, language, quality, token_counts, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.held_out_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -35,5 +39,5 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.rotate(_table(spark, folder, "conversations")))
 
 
-QUERIES = {q.__name__: q for q in (op2_quality, op3_token_counts, op6_language, op7_warc, op8_exact_dedup, op10_chat_format)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op6_language, op7_warc, op8_exact_dedup, op10_chat_format)}
 ORACLE = {"op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op10_chat_format": chat.ORACLE}
