@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, exact, language, lines, quality, token_counts, warc
+from tidemark.llm import chat, decontaminate, exact, language, lines, pieces, quality, token_counts, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_curve(_table(spark, folder, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.per_document(pieces.encode(_table(spark, folder, "documents")))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(_table(spark, folder, "documents"))
 
@@ -43,5 +47,5 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.rotate(_table(spark, folder, "conversations")))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup, op10_chat_format)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op4_sentencepiece, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup, op10_chat_format)}
 ORACLE = {"op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op10_chat_format": chat.ORACLE}
