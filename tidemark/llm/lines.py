@@ -24,7 +24,9 @@ WILD = "<*>"
 
 
 def _masked(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(line, r"\S*[0-9]\S*", WILD), r"\s+", " "))
+    """Tokens with a digit masked, and single spaces between tokens; the few lines that need either are rewritten."""
+    fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", WILD)).otherwise(line)
+    return F.trim(F.when(fields.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(fields, r"\s+", " ")).otherwise(fields))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
