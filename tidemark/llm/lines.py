@@ -34,7 +34,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame
     so that exact copies of a document count as one document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text, F.length(text)).alias("_sig"), F.posexplode(F.split(text, "\n")).alias("_no", "_raw"))
-    rows = rows.select("_id", "_sig", "_no", _masked(F.col("_raw")).alias("_masked")).where("_masked <> ''")
+    # blank lines go before masking: a filter on the masked line would be computed twice
+    rows = rows.where(F.col("_raw").rlike(r"\S")).select("_id", "_sig", "_no", _masked(F.col("_raw")).alias("_masked"))
     rows = rows.withColumn("_n", F.length("_masked") - F.length(F.replace("_masked", F.lit(" "), F.lit(""))) + 1)
     return rows.withColumns({
         "_leaf": F.xxhash64("_n", F.substring_index("_masked", " ", depth)), "_line": F.xxhash64("_masked", "_n"),
