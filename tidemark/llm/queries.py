@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, exact, language, lines, pieces, quality, token_counts, warc
+from tidemark.llm import chat, decontaminate, exact, jaccard, language, lines, pieces, quality, token_counts, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,9 +43,13 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.label(_table(spark, folder, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.rotate(_table(spark, folder, "conversations")))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op4_sentencepiece, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup, op10_chat_format)}
-ORACLE = {"op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op10_chat_format": chat.ORACLE}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op4_sentencepiece, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup, op9_ngram_jaccard, op10_chat_format)}
+ORACLE = {"op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op9_ngram_jaccard": jaccard.ORACLE, "op10_chat_format": chat.ORACLE}
