@@ -124,6 +124,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     return kept.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double", "ambiguous boolean"]))
 
 
+def keep_decided(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, with their own columns only, whose language is told: neither ``und`` nor ambiguous. Map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(text_col)
+            told = np.fromiter((has_letter(t.as_py()) for t in text), bool, len(text)) & bool(model.languages)
+            at = 0
+            for x in featurize(text) if len(model.languages) else ():
+                told[at : at + len(x)] &= model.decode(x)[2] >= AMBIGUOUS
+                at += len(x)
+            yield batch.filter(pa.array(told))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def train_on_folds(docs: DataFrame) -> Model:
     """Learn from documents whose crc32 of the id modulo 4 is not 2."""
     return train(docs.where(sampling.crc("doc_id") % 4 != 2))
