@@ -41,8 +41,8 @@ def test_rows(spark, frame):
     long = [t * 4 for t in texts(6, 200)]
     rows = [(i, t, "x") for i, t in enumerate([*long, "", None, "short", "short", "a▁b", " \n "])] + [(None, long[0], "x"), (0, long[1], "x")]
     docs = frame("doc_id long, text string, n_tokens string", *rows)
-    whole = pieces.per_document(pieces.encode(docs)).select("doc_id", "n_tokens", "ids_digest", "round_trip")
-    parts = pieces.per_document(pieces.encode(docs, chunk=128))
+    whole = pieces.per_document(docs).select("doc_id", "n_tokens", "ids_digest", "round_trip")
+    parts = pieces.per_document(docs, chunk=128)
     assert max(r.n_chunks for r in parts.collect()) > 2
     want = sorted(map(str, whole.collect()))
     assert sorted(map(str, parts.select("doc_id", "n_tokens", "ids_digest", "round_trip").collect())) == want
@@ -53,7 +53,7 @@ def test_rows(spark, frame):
 
 def test_empty_table(frame):
     docs = frame("doc_id long, text string")
-    assert pieces.per_document(pieces.encode(docs)).count() == 0
+    assert pieces.per_document(docs).count() == 0
 
 
 def test_decoded_chunks_are_the_text(spark, frame):

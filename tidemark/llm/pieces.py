@@ -333,15 +333,8 @@ def _between(path: str, kind: pa.DataType):
     return run
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """``(_key, id, chunk, n_chunks, ids, n_tokens, ids_digest, round_trip)``: the ids of every whole text, a row for each chunk.
-
-    The chunks of a document, in order, are its encoding, the same as the model gives for the text in one piece.
-    ``round_trip`` says that decoding the chunk gives its text; it fails only where a text has the model's own mark
-    for a space. Null and empty texts have no ids. Repeated rows are encoded each on its own; ``_key`` tells giant
-    documents of one id apart and is null for the others. Other columns are ignored. ``model`` is a file that every
-    executor can read.
-    """
+def _parts(docs: DataFrame, id_col: str, text_col: str, model: str, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of texts of one chunk, and of the chunks of giant ones."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -354,6 +347,19 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     path = matrices.groupBy("_key").applyInArrow(_backtrace, "_key string, chunk int, enter int, leave int")
     joined = cuts.join(path, ["_key", "chunk"])
     long = joined.mapInArrow(_between(model, arrow), SCHEMA.format(id=kind))
+    return short, long
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+    """``(_key, id, chunk, n_chunks, ids, n_tokens, ids_digest, round_trip)``: the ids of every whole text, a row for each chunk.
+
+    The chunks of a document, in order, are its encoding, the same as the model gives for the text in one piece.
+    ``round_trip`` says that decoding the chunk gives its text; it fails only where a text has the model's own mark
+    for a space. Null and empty texts have no ids. Repeated rows are encoded each on its own; ``_key`` tells giant
+    documents of one id apart and is null for the others. Other columns are ignored. ``model`` is a file that every
+    executor can read.
+    """
+    short, long = _parts(docs, id_col, text_col, model, chunk)
     return short.unionByName(long).withColumnRenamed("_id", id_col)
 
 
@@ -370,11 +376,10 @@ def _total(table: pa.Table) -> pa.Table:
     })
 
 
-def per_document(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
     """One row per document: number of tokens and chunks, the digest of all its ids, and whether decoding gave the text."""
-    rows = encoded.withColumnRenamed(id_col, "_id").drop("ids")
-    shown = ["_id", "n_tokens", "n_chunks", "ids_digest", "round_trip"]
-    kind = rows.schema["_id"].dataType.simpleString()
-    one = rows.where(F.col("_key").isNull()).withColumn("n_tokens", F.col("n_tokens").cast("long")).select(*shown)
-    several = rows.where(F.col("_key").isNotNull()).groupBy("_key").applyInArrow(_total, f"_id {kind}, n_tokens long, n_chunks int, ids_digest long, round_trip boolean")
+    short, long = _parts(docs, id_col, text_col, model, chunk)
+    one = short.select("_id", F.col("n_tokens").cast("long").alias("n_tokens"), "n_chunks", "ids_digest", "round_trip")
+    kind = one.schema["_id"].dataType.simpleString()
+    several = long.drop("ids").groupBy("_key").applyInArrow(_total, f"_id {kind}, n_tokens long, n_chunks int, ids_digest long, round_trip boolean")
     return one.unionByName(several).withColumnRenamed("_id", id_col)

@@ -24,7 +24,7 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return pieces.per_document(pieces.encode(_table(spark, folder, "documents")))
+    return pieces.per_document(_table(spark, folder, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
