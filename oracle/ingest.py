@@ -52,4 +52,4 @@ FROM (SELECT *, row_number() OVER (PARTITION BY client, contact_id, email ORDER
 
 
 def bounded_batches() -> str:
-    return "SELECT count(*) AS rows_kept, CAST(sum(length(text)) AS BIGINT) AS chars_kept, 0 AS over_bound FROM documents"
+    return "SELECT count(*) AS rows_kept, CAST(sum(length(text)) AS BIGINT) AS chars_kept, 0 AS over_bound, 0 AS mergeable FROM documents"

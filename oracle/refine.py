@@ -110,5 +110,6 @@ def pii_users() -> str:
     return with_views(["lk_tree_users", "clients"], f"""
 SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, event_id, id AS tree_user_id, first_name, last_name, company_name,
   address1 || CASE WHEN address2 <> '' THEN ' ' || address2 ELSE '' END AS street, city, state, country, email, phone, mobile_phone,
-  CASE gender WHEN 'F' THEN 'female' WHEN 'male' THEN 'male' ELSE 'none' END AS gender, CAST(birth_date AS VARCHAR) AS birth_date
+  CASE gender WHEN 'F' THEN 'female' WHEN 'male' THEN 'male' ELSE 'none' END AS gender, CAST(birth_date AS VARCHAR) AS birth_date,
+  strftime(created_date, '%Y-%m-%d %H:%M:%S.%f') AS created_at
 FROM {_latest('lk_tree_users', 'client, id', where=where)} t JOIN clients c USING (client)""")

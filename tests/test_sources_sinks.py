@@ -159,10 +159,31 @@ def test_marks(frame, marks):
     assert marks.get("job", "t") == "2020-01-05 00:00:00" and marks.current().count() == 2
 
 
-def test_upper_bound_counts_distinct_pairs_up_to_the_cap(frame):
-    a = source_rows(frame, "2020-01-01", "2020-01-01", "2020-01-02", "2020-01-03")
-    last = upper_bound({"a": a, "b": a}, "2020-01-01", cap=4).first()["last"]
-    assert str(last) == "2020-01-02 00:00:00"
+def test_upper_bound_is_the_newest_of_all_sources(frame):
+    a, b = source_rows(frame, "2020-01-01", "2020-01-01", "2020-01-02"), source_rows(frame, "2020-01-03", "2019-01-01")
+    assert str(upper_bound({"a": a, "b": b}, "2020-01-01").first()["last"]) == "2020-01-03 00:00:00"
+    assert upper_bound({"a": a, "b": b}, "2021-01-01").first()["last"] is None
+
+
+def test_retry_after_new_rows_repeats_the_planned_window(spark, frame, marks, tmp_path):
+    target = str(tmp_path / "out")
+    old, new = source_rows(frame, "2020-01-01", "2020-01-02"), source_rows(frame, "2020-01-01", "2020-01-02", "2020-01-03", "2020-01-04")
+
+    class Broken(Marks):
+        def set(self, *args):
+            raise RuntimeError("lost")
+
+    def build(rows):
+        return lambda first, last: rows.filter(F.col("ingested_at").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+
+    with pytest.raises(RuntimeError):
+        run_window(Broken(spark, marks.path), "j", "t", {"t": old}, build(old), target)
+    first = run_window(marks, "j", "t", {"t": new}, build(new), target)
+    assert first.last == "2020-01-02 00:00:00" and spark.read.parquet(target).count() == 2
+    assert run_window(marks, "j", "t", {"t": new}, build(new), target) == Window("2020-01-02 00:00:00", "2020-01-04 00:00:00")
+    # only the boundary row counts again
+    rows = spark.read.parquet(target)
+    assert rows.count() == 5 and rows.select("id").distinct().count() == 4
 
 
 def test_window_run_repeats_into_the_same_folder(spark, frame, marks, tmp_path):

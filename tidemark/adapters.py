@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.nesting import nest_children
-from tidemark.session import spread
+from tidemark.session import cut, spread
 
 
 class Star:
@@ -42,8 +42,7 @@ class Star:
         place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
             "n_nationkey", "n_name", "r_name", "lower(r_name) AS client"
         )
-        # nation and region have 25 and 5 rows at every scale factor
-        return self.table("customer").join(F.broadcast(place), F.col("c_nationkey") == F.col("n_nationkey"))
+        return self.table("customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
 
     def users(self) -> DataFrame:
         return self.customers_with_tenant().selectExpr(
@@ -356,9 +355,10 @@ class Star:
 
 
 class Lake(Mapping[str, DataFrame]):
-    """Lake tables by name, each built when a job asks for it."""
+    """Lake tables by name, each derived and written once, when a job first asks for it."""
 
     def __init__(self, star: Star):
+        self._written: dict[str, DataFrame] = {}
         self._makers = {
             "tree_users": star.lake_tree_users,
             "users": star.lake_users,
@@ -377,7 +377,9 @@ class Lake(Mapping[str, DataFrame]):
         }
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._makers[name]()
+        if name not in self._written:
+            self._written[name] = cut(self._makers[name](), f"lake-{name}")
+        return self._written[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)

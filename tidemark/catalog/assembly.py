@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import config
 from tidemark.adapters import Star
 from tidemark.catalog.base import AS_OF, FIRST, query
 from tidemark.catalog.refine import lake_tables, tenant_table
@@ -267,7 +268,7 @@ def _(s: Star) -> DataFrame:
 @query("next_window")
 def _(s: Star) -> DataFrame:
     sources = {"tree_orders": s.lake_orders(), "tree_order_items": s.lake_order_items()}
-    return incremental.upper_bound(sources, FIRST, cap=1000).select(F.lit(FIRST).alias("first"), "last", F.col("last").isNotNull().alias("has_data"))
+    return incremental.upper_bound(sources, FIRST).select(F.lit(FIRST).alias("first"), "last", F.col("last").isNotNull().alias("has_data"))
 
 
 @query("key_range_read")
@@ -278,7 +279,8 @@ def _(s: Star) -> DataFrame:
 @query("filtered_export_source")
 def _(s: Star) -> DataFrame:
     rows = refine.refined_users(lake_tables(s), tenant_table(s), FIRST, AS_OF)
-    some = tables.filtered(rows, (FIRST, AS_OF), list(range(0, 3000, 2)), "1995-06-01", tables={"staging.users": "created"}, table="staging.users")
+    even = s.table("customer").where("c_custkey % 2 = 0").select("c_custkey")
+    some = tables.filtered(rows, (FIRST, AS_OF), even, "1995-06-01", tables=config.EXPORT_TABLES, table="staging.users")
     return some.select("client", "tree_user_id", "created", "client_type", "ingested_at")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,10 +161,15 @@ def _(s: Star) -> DataFrame:
 
 @query("bounded_batches")
 def _(s: Star) -> DataFrame:
-    """Rows kept, and batches over a bound, when documents are cut into bounded batches."""
+    """Rows kept, batches over a bound, and neighbours that one batch could hold, when documents are cut into bounded batches."""
     sized = s.table("documents").select("doc_id", F.length("text").alias("chars"))
     per_batch = tables.bounded_batches(sized, "chars", max_rows=50, max_chars=100_000).groupBy("partition", "batch").agg(
         F.count("*").alias("n"), F.sum("chars").alias("chars")
     )
     over = (F.col("n") > 50) | ((F.col("chars") > 100_000) & (F.col("n") > 1))
-    return per_batch.agg(F.sum("n").alias("rows_kept"), F.sum("chars").alias("chars_kept"), F.count_if(over).alias("over_bound"))
+    after = W.partitionBy("partition").orderBy("batch")
+    joined = per_batch.withColumns({"n_2": F.lead("n").over(after), "chars_2": F.lead("chars").over(after)})
+    half_empty = (F.col("n") + F.col("n_2") <= 50) & (F.col("chars") + F.col("chars_2") <= 100_000)
+    return joined.agg(
+        F.sum("n").alias("rows_kept"), F.sum("chars").alias("chars_kept"), F.count_if(over).alias("over_bound"), F.count_if(half_empty).alias("mergeable")
+    )

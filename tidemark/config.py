@@ -138,7 +138,7 @@ def routes(stream: str, suffix: str = "final") -> dict[str, str]:
     return {f"{stream}-{part}-{suffix}": table for part, table in CHANGE_FILES.items()}
 
 
-# Exported tables and the column a creation-date filter reads. Fixed values.
+# Exported tables and the column a creation-date filter reads: the name our own schema has for it.
 EXPORT_TABLES = {
     "pii.users": "created_at",
     "staging.emails": "created",
@@ -147,7 +147,7 @@ EXPORT_TABLES = {
     "staging.product_reviews": "created_at",
     "staging.sites": "created_at",
     "staging.tasks": "created",
-    "staging.users": "created_at",
+    "staging.users": "created",
     "staging.contacts": "created_at",
 }
 

@@ -90,11 +90,6 @@ def keep_all(one: DataFrame, many: DataFrame, on: str) -> DataFrame:
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
-def without_match(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """Anti-join: rows of ``df`` that have no partner."""
-    return df.join(other, on, "left_anti")
-
-
 def join_on_number(df: DataFrame, other: DataFrame, text_key: str, key: str, how: str = "inner") -> DataFrame:
     """Join a numeric key kept as text; text that is no number never matches."""
     return df.join(other, F.col(text_key).try_cast("long") == F.col(key), how)

@@ -8,24 +8,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Children one output row may hold. A parent with more of them (one mailing to
-# millions) gets several rows, numbered by ``part``, so no row or task has to
-# hold an unbounded array and no child is lost.
+# Children one output row may hold. The grain of a nested table is (key, part): a
+# parent with more children (one mailing to millions) has several parts, so no row
+# or task holds an unbounded array and no child is lost. Every table carries
+# ``part`` and ``parts``; what belongs to the parent alone is read from part 0.
 CHILD_LIMIT = 100_000
 
+
 @dataclass(frozen=True)
 class Child:
     """Rows to nest, the fields of one element, and the columns that identify a child.
 
-    ``versions`` are rows the children are taken from. Where given they are
-    counted in place of the children: the key columns of the scan are enough then,
-    and the ranking of versions runs once.
+    The rows are read twice, to count and to nest; write costly ones once (``cut``).
     """
 
     rows: DataFrame
     fields: Sequence[str | Column]
     ids: Sequence[str] = ()
-    versions: DataFrame | None = None
 
 
 def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | None = CHILD_LIMIT, part: str = "part") -> DataFrame:
@@ -34,8 +33,9 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
     All child tables go through one grouping. Parents above ``limit`` are found by
     a map-side count first; their children are spread over ``ceil(count / limit)``
     parts by a hash of the child's id (of its fields where no id is named). All
-    other parents have the single part 0. ``n_<name>`` counts over all parts (of a
-    crowded parent: its versions, where those were counted).
+    other parents have the single part 0; a part that got no child is left out,
+    but part 0 of a parent is always there. ``n_<name>`` counts the children of
+    the parent, whatever part they are in and whatever the limit is.
     """
     names = list(children)
     rows = _union_by_name(
@@ -49,7 +49,7 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
         totals = [F.lit(1).alias("parts")]
     else:
         counted = _union_by_name(
-            [(c.rows if c.versions is None else c.versions).select(*keys, F.lit(1).alias(f"_n_{n}")) for n, c in children.items()]
+            [c.rows.select(*keys, F.lit(1).alias(f"_n_{n}")) for n, c in children.items()]
         )
         counts = counted.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.count(f"_n_{n}").alias(f"_n_{n}") for n in names))
         crowded = counts.filter(F.col("_n") > limit)
@@ -57,6 +57,8 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
             part,
             F.when(F.col("_n").isNull(), 0).otherwise(F.pmod("_hash", F.ceil(F.col("_n") / limit))).cast("int"),
         )
+        # a crowded parent has its part 0 even if no child's hash falls there
+        spread = spread.unionByName(crowded.select(*keys, "_n", F.lit(0).alias(part)), allowMissingColumns=True)
         totals = [F.max(f"_n_{n}").alias(f"_n_{n}") for n in names]
         totals.append(F.coalesce(F.max(F.ceil(F.col("_n") / limit)).cast("int"), F.lit(1)).alias("parts"))
     nested = spread.groupBy(*keys, part).agg(*(F.sort_array(F.collect_list(n)).alias(n) for n in names), *totals)
@@ -75,12 +77,8 @@ def _union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 def nest_children(
     df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str, limit: int | None = CHILD_LIMIT,
-    ids: Sequence[str] = (), versions: DataFrame | None = None,
+    ids: Sequence[str] = (),
 ) -> DataFrame:
     """One child table: ``(keys, part, parts, name array<struct<fields>>)``."""
-    return nest_many({name: Child(df, fields, ids, versions)}, keys, limit).drop(f"n_{name}")
-
+    return nest_many({name: Child(df, fields, ids)}, keys, limit).drop(f"n_{name}")
 
-def unnest(df: DataFrame, array: str, alias: str) -> DataFrame:
-    """Lateral unnest: one row per element; rows with empty or NULL arrays vanish."""
-    return df.withColumn(alias, F.explode(array)).drop(array)

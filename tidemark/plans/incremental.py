@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 from tidemark.operators.versions import INGESTED, latest_by, union_all
 from tidemark.sources.files import exists
 
-# Start of time for a target never run, and rows looked at per window. Fixed values.
+# Start of time for a target never run. Fixed value.
 START = "1970-01-01 00:00:00"
-PAIR_CAP = 1_000_000
 
 MARK_SCHEMA = T.StructType(
     [
@@ -25,22 +24,19 @@ MARK_SCHEMA = T.StructType(
         T.StructField("committed_at", T.TimestampType(), False),
     ]
 )
+PLAN_SCHEMA = T.StructType([*MARK_SCHEMA.fields[:-1], T.StructField("first", T.StringType(), False), MARK_SCHEMA.fields[-1]])
 
 
-def upper_bound(sources: Mapping[str, DataFrame], lower, cap: int = PAIR_CAP) -> DataFrame:
-    """One row ``last``: the newest of the first ``cap`` distinct (time, table) pairs from ``lower`` on.
+def upper_bound(sources: Mapping[str, DataFrame], lower) -> DataFrame:
+    """One row ``last``: the newest ingest time of all sources from ``lower`` on.
 
     The bound is inclusive, so the boundary row counts again; NULL where nothing
-    is there. ``cap`` bounds the work of one run; the next one goes on from there.
+    is there. A maximum sends one row per task, however many rows there are.
     """
-    pairs = union_all(
-        (
-            df.filter(F.col(INGESTED) >= F.lit(lower).cast(df.schema[INGESTED].dataType)).select(INGESTED, F.lit(name).alias("tbl"))
-            for name, df in sources.items()
-        ),
-        distinct=True,
+    newest = union_all(
+        df.filter(F.col(INGESTED) >= F.lit(lower).cast(df.schema[INGESTED].dataType)).select(INGESTED) for df in sources.values()
     )
-    return pairs.orderBy(INGESTED, "tbl").limit(cap).agg(F.max(INGESTED).alias("last"))
+    return newest.agg(F.max(INGESTED).alias("last"))
 
 
 @dataclass(frozen=True)
@@ -56,18 +52,28 @@ class Window:
 class Marks:
     """Checkpoint table: one append per commit, the latest row per (job, table) counts.
 
-    Commits are small atomic appends, so a run that dies leaves the old mark.
+    Commits are small atomic appends, so a run that dies leaves the old mark. A
+    window is written down as planned before it is run; while its lower bound is
+    still the mark it has not been committed, and the next run takes it up again
+    with the same upper bound, whatever has arrived since.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def current(self) -> DataFrame:
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], MARK_SCHEMA).drop("committed_at")
-        log = self.spark.read.schema(MARK_SCHEMA).parquet(self.path)
+    def _latest(self, path: str, schema: T.StructType) -> DataFrame:
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema).drop("committed_at")
+        log = self.spark.read.schema(schema).parquet(path)
         return latest_by(log, ["dag_id", "table"], [F.desc("committed_at"), F.desc("checkpoint")]).drop("committed_at")
 
+    def _append(self, path: str, schema: T.StructType, *values: str) -> None:
+        row = (*values, datetime.now(timezone.utc))
+        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+
+    def current(self) -> DataFrame:
+        return self._latest(self.path, MARK_SCHEMA)
+
     def get(self, job: str, table: str) -> str:
         row = self.current().filter((F.col("dag_id") == job) & (F.col("table") == table)).first()
         return row["checkpoint"] if row else START
@@ -75,14 +81,24 @@ class Marks:
     def set(self, job: str, table: str, window: Window) -> None:
         """Commit the window's upper bound; nothing happens without one."""
         if window.has_data:
-            row = (job, table, window.last, datetime.now(timezone.utc))
-            self.spark.createDataFrame([row], MARK_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self._append(self.path, MARK_SCHEMA, job, table, window.last)
 
-    def next_window(self, job: str, table: str, sources: Mapping[str, DataFrame], cap: int = PAIR_CAP) -> Window:
+    def next_window(self, job: str, table: str, sources: Mapping[str, DataFrame]) -> Window:
         lower = self.get(job, table)
-        last = upper_bound(sources, lower, cap).select(F.col("last").cast("string")).first()["last"]
+        last = upper_bound(sources, lower).select(F.col("last").cast("string")).first()["last"]
         return Window(lower, last)
 
+    def planned_window(self, job: str, table: str, sources: Mapping[str, DataFrame]) -> Window:
+        """The window an unfinished run has planned, else the next one, which is then written down as planned."""
+        plans = f"{self.path.rstrip('/')}-planned"
+        open_plan = self._latest(plans, PLAN_SCHEMA).filter((F.col("dag_id") == job) & (F.col("table") == table)).first()
+        if open_plan and open_plan["first"] == self.get(job, table) and open_plan["checkpoint"] != open_plan["first"]:
+            return Window(open_plan["first"], open_plan["checkpoint"])
+        window = self.next_window(job, table, sources)
+        if window.has_data:
+            self._append(plans, PLAN_SCHEMA, job, table, window.last, window.first)
+        return window
+
 
 def window_name(window: Window) -> str:
     """Folder name of a window's output."""
@@ -92,14 +108,14 @@ def window_name(window: Window) -> str:
 
 def run_window(
     marks: Marks, job: str, table: str, sources: Mapping[str, DataFrame], build: Callable[[str, str], DataFrame], target: str,
-    cap: int = PAIR_CAP,
 ) -> Window:
-    """Run one window: build, write to the window's own folder, then commit.
+    """Run one window: plan it, build, write to the window's own folder, then commit.
 
-    A run that fails before the commit is repeated over the same window and
-    overwrites the same folder.
+    A run that fails before the commit is repeated over the planned window and
+    overwrites the same folder, even if newer rows have arrived in between; those
+    belong to the window after it.
     """
-    window = marks.next_window(job, table, sources, cap)
+    window = marks.planned_window(job, table, sources)
     if window.has_data:
         build(window.first, window.last).write.mode("overwrite").parquet(f"{target}/{window_name(window)}")
         marks.set(job, table, window)

@@ -53,7 +53,7 @@ def export_table(
     tables: Mapping[str, str] = config.EXPORT_TABLES,
 ) -> Window:
     """One table's window to NDJSON; the mark moves after the files are written."""
-    window = marks.next_window(job, table, {table: df})
+    window = marks.planned_window(job, table, {table: df})
     if window.has_data:
         rows = filtered(df, (window.first, window.last), tree_user_ids, created_after, tables=tables, table=table)
         out.export(rows, folder, table)

@@ -17,6 +17,7 @@ from tidemark.operators.joins import lookup, lookup_latest, with_tenant
 from tidemark.operators.nesting import CHILD_LIMIT, Child, nest_children, nest_many
 from tidemark.operators.versions import changed_ids, current_state, earliest_event, history_of, in_window, latest_by
 from tidemark.plans.rules import order_rules, user_rules
+from tidemark.session import cut
 
 Lake = Mapping[str, DataFrame]
 
@@ -28,7 +29,7 @@ def _referenced(lake_table: DataFrame, rows: DataFrame, ref: str) -> DataFrame:
 
 def refined_users(lake: Lake, tenants: DataFrame, first, last) -> DataFrame:
     """Latest state of users changed in ``[first, last]``, before tenant rules."""
-    ids = changed_ids([(lake["tree_users"], "id"), (lake["users"], "tree_user_id")], "tree_user_id", first, last)
+    ids = cut(changed_ids([(lake["tree_users"], "id"), (lake["users"], "tree_user_id")], "tree_user_id", first, last), "ids")
     state = current_state(lake["tree_users"], ids, "id", "tree_user_id")
     logins = current_state(lake["users"], ids, "tree_user_id", "tree_user_id")
     complete = state.na.drop(subset=["sponsor_id", "user_type_id", "rank_id"])
@@ -75,15 +76,14 @@ def refined_orders(lake: Lake, tenants: DataFrame, first, last, type_needs_user:
     ``type_needs_user`` keeps the order type NULL where the buyer is unknown to
     the tenant, as the lookup runs through the buyer's tenant.
     """
-    ids = changed_ids([(lake["tree_orders"], "id"), (lake["tree_order_items"], "order_id")], "order_id", first, last)
+    ids = cut(changed_ids([(lake["tree_orders"], "id"), (lake["tree_order_items"], "order_id")], "order_id", first, last), "ids")
     orders = current_state(lake["tree_orders"], ids, "id", "order_id")
-    item_versions = history_of(lake["tree_order_items"], ids, "order_id", "order_id")
-    items = latest_by(item_versions, ["client", "id"])
+    items = cut(latest_by(history_of(lake["tree_order_items"], ids, "order_id", "order_id"), ["client", "id"]), "items")
     fields = [*PRODUCT_FIELDS, *(F.col(c).alias(f"item_{c}") for c in ITEM_SHIPPING)]
-    products = nest_children(items, ["client", "order_id"], fields, "products", child_limit, ["id"], item_versions)
+    products = nest_children(items, ["client", "order_id"], fields, "products", child_limit, ["id"])
     rows = lookup(
-        with_tenant(orders, tenants), products, {"client": "client", "id": "order_id"}, {"products": "products", "part": "part"}
-    ).withColumn("part", F.coalesce("part", F.lit(0)))
+        with_tenant(orders, tenants), products, {"client": "client", "id": "order_id"}, {"products": "products", "part": "part", "parts": "parts"}
+    ).withColumns({"part": F.coalesce("part", F.lit(0)), "parts": F.coalesce("parts", F.lit(1))})
     users = lake["tree_users"].select("client", "id", "sponsor_id", "user_type_id", "event_id", "ingested_at")
     buyers = _referenced(users, orders, "tree_user_id")
     rows = lookup(
@@ -99,7 +99,7 @@ def refined_orders(lake: Lake, tenants: DataFrame, first, last, type_needs_user:
         "client_partition_id", "client_wrench_id", "client", "tree_user_id", "sponsor_id", "client_user_type",
         "client_type", "client_status", F.col("id").alias("order_id"), flag(F.col("autoship_template_id")).alias("is_autoship"),
         *ORDER_FIELDS, F.col("created_date").alias("created"), F.col("modified_date").alias("modified"),
-        "client_order_id", "client_user_id", "event_id", "ingested_at", "products", "part",
+        "client_order_id", "client_user_id", "event_id", "ingested_at", "products", "part", "parts",
     )
 
 
@@ -126,7 +126,7 @@ def staging_contacts(
     e-mail, phone or category is left out.
     """
     how = {"emails": "inner", "phone_numbers": "inner", "categories": "inner", **(how or {})}
-    ids = changed_ids(
+    ids = cut(changed_ids(
         [
             (lake["pyr_contacts"], "id"),
             (lake["pyr_contact_emails"], "contact_id"),
@@ -134,7 +134,7 @@ def staging_contacts(
             (lake["pyr_contacts_contact_categories"], child_key),
         ],
         "contact_id", first, last,
-    )
+    ), "ids")
     key = ["client", "contact_id"]
     contacts = current_state(lake["pyr_contacts"], ids, "id", "contact_id")
     emails = lake["pyr_contact_emails"].join(ids, key, "left_semi")
@@ -147,15 +147,15 @@ def staging_contacts(
     children = nest_many(
         {
             "emails": Child(
-                latest_by(emails, [*key, "email"]),
-                ["email", "preferred", "undeliverable_count", "spam_reported_count", "source"], ["id"], emails,
+                cut(latest_by(emails, [*key, "email"]), "emails"),
+                ["email", "preferred", "undeliverable_count", "spam_reported_count", "source"], ["id"],
             ),
             "phone_numbers": Child(
-                latest_by(phones, [*key, "unformatted_phone_number"]),
-                ["phone_number", "label", "unformatted_phone_number", "source", "dialing_code"], ["id"], phones,
+                cut(latest_by(phones, [*key, "unformatted_phone_number"]), "phones"),
+                ["phone_number", "label", "unformatted_phone_number", "source", "dialing_code"], ["id"],
             ),
             # one link per contact is left
-            "categories": Child(latest_by(links, key), ["category", "created_at", "updated_at"], ["id"]),
+            "categories": Child(cut(latest_by(links, key), "categories"), ["category", "created_at", "updated_at"], ["id"]),
         },
         key, child_limit,
     )
@@ -177,7 +177,7 @@ def staging_contacts(
         F.col("contact_type").alias("type"),
         *(F.col(c).alias("is_downline" if c == "is_downline_contact" else c) for c in CONTACT_FIELDS),
         "event_id", F.array(F.struct(*ADDRESS)).alias("addresses"), "emails", "phone_numbers", "categories",
-        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("parts", F.lit(1)).alias("parts"),
     )
 
 
@@ -188,5 +188,5 @@ def pii_users(lake: Lake, tenants: DataFrame, first, last) -> DataFrame:
         "client_partition_id", "client_wrench_id", "client", "event_id", F.current_timestamp().alias("ingested_at"),
         F.col("id").alias("tree_user_id"), "first_name", "last_name", "company_name",
         street(F.col("address1"), F.col("address2")).alias("street"), "city", "state", "country", "email", "phone",
-        "mobile_phone", gender(F.col("gender")).alias("gender"), "birth_date",
+        "mobile_phone", gender(F.col("gender")).alias("gender"), "birth_date", F.col("created_date").alias("created_at"),
     )

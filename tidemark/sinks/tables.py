@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +52,16 @@ def write(df: DataFrame, path: str, partition: str | None = None, cluster: Seque
 
 
 def append(df: DataFrame, path: str, schema: T.StructType, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
-    """Append to a table that must exist, in its declared columns."""
+    """Append to a table that must exist, in its declared columns.
+
+    A NULL in a column the schema requires stops the write.
+    """
     if not exists(df.sparkSession, path):
         raise FileNotFoundError(f"append never creates a table: {path}")
-    write(sch.align(df, schema), path, partition, cluster)
+    rows = sch.align(df, schema)
+    required = [f.name for f in schema.fields if not f.nullable]
+    stop = lambda c: F.raise_error(F.lit(f"required column {c} is NULL"))
+    write(rows.withColumns({c: F.when(F.col(c).isNull(), stop(c)).otherwise(F.col(c)) for c in required}), path, partition, cluster)
 
 
 def reload(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -79,22 +86,26 @@ MAX_ROWS, MAX_CHARS = 10_000, 8_000_000
 def bounded_batches(df: DataFrame, length: str, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Number rows into batches, within each partition, that stay under both bounds.
 
-    A new batch starts with the row that would pass a bound. Nothing is shuffled;
-    ``(partition, batch)`` is added to each row.
+    A new batch starts with the row that would pass a bound; a row longer than the
+    bound is a batch of its own, a NULL length counts as 0. Nothing is shuffled and
+    only the length column leaves the JVM; ends of batches are looked up in running
+    sums. ``(partition, batch)`` is added to each row.
     """
-    from pyspark import TaskContext
 
-    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
+    @F.pandas_udf("long")
+    def number(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         batch = rows = chars = 0
-        for frame in frames:
-            out = []
-            for size in frame[length]:
-                if rows and (rows >= max_rows or chars + size > max_chars):
+        for column in columns:
+            sums = np.concatenate([[0], np.cumsum(column.fillna(0).to_numpy())])
+            out, at, n = np.empty(len(column), np.int64), 0, len(column)
+            while at < n:
+                fit = int(np.searchsorted(sums, sums[at] + max_chars - chars, "right")) - 1
+                end = min(n, at + max_rows - rows, fit if rows else max(fit, at + 1))
+                if end <= at:
                     batch, rows, chars = batch + 1, 0, 0
-                rows, chars = rows + 1, chars + size
-                out.append(batch)
-            yield frame.assign(partition=part, batch=out)
+                    continue
+                out[at:end] = batch
+                rows, chars, at = rows + end - at, chars + sums[end] - sums[at], end
+            yield pd.Series(out)
 
-    result = T.StructType([*df.schema.fields, T.StructField("partition", T.IntegerType()), T.StructField("batch", T.LongType())])
-    return df.mapInPandas(number, result)
+    return df.withColumns({"partition": F.spark_partition_id(), "batch": number(F.col(length))})

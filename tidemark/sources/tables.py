@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.versions import INGESTED, in_window
@@ -31,12 +31,6 @@ def read_source(spark: SparkSession, project: str | None = None, query: str | No
         spark.catalog.setCurrentDatabase(before)
 
 
-def read_template(path: str) -> str:
-    """SQL text of a template file; its parameters are bound by ``read_source(args=...)``."""
-    with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
 def key_ranges(low: int, high: int, parts: int) -> list[tuple[int, int]]:
     """Adjacent closed ranges that cover every key from ``low`` to ``high``."""
     parts = max(1, min(parts, high - low + 1))
@@ -50,17 +44,20 @@ def key_ranges(low: int, high: int, parts: int) -> list[tuple[int, int]]:
 
 
 def range_predicates(key: str, low: int, high: int, parts: int) -> list[str]:
-    return [f"{key} BETWEEN {a} AND {b}" for a, b in key_ranges(low, high, parts)]
+    """A condition for each range; keys that are NULL belong to the first."""
+    first, *others = (f"{key} BETWEEN {a} AND {b}" for a, b in key_ranges(low, high, parts))
+    return [f"({first}) OR {key} IS NULL", *others]
 
 
 def key_range_read(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """The table read in key ranges, each pushed to the scan; no key is lost.
+    """The table read in key ranges, each pushed to the scan; no row is lost.
 
-    An empty table gives no rows. Rows without a key have no range and are left out.
+    Rows without a key are in the first range, as in ``jdbc_read``. Worth its extra scans only where a source is not
+    split by itself; files are.
     """
     span = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
     if span["high"] is None:
-        return df.limit(0)
+        return df
     return reduce(DataFrame.unionByName, (df.filter(p) for p in range_predicates(key, span["low"], span["high"], parts)))
 
 
@@ -79,7 +76,7 @@ def jdbc_to_json(spark: SparkSession, url: str, table: str, path: str, key: str,
 
 
 def filtered(
-    df: DataFrame, window: tuple | None = None, tree_user_ids: Sequence[int] | None = None, created_after=None, created_field: str = "created",
+    df: DataFrame, window: tuple | None = None, tree_user_ids: Sequence[int] | DataFrame | None = None, created_after=None, created_field: str = "created",
     tables: Mapping[str, str] | None = None, table: str | None = None,
 ) -> DataFrame:
     """Optional conjunctive filters; without any the whole table.
@@ -91,37 +88,21 @@ def filtered(
         df = in_window(df, *window, column=INGESTED)
     if created_after is not None:
         column = tables[table] if tables is not None else created_field
-        if column not in ("created", "created_at"):
-            raise ValueError(f"created_field {column} not found in variables")
+        if column not in df.columns:
+            raise ValueError(f"{table or 'the table'} has no creation column {column}")
         df = df.filter(F.col(column) >= F.lit(created_after).cast(df.schema[column].dataType))
     if tree_user_ids is not None:
         df = semi_join_ids(df, "tree_user_id", tree_user_ids)
     return df
 
 
-# Above this many ids a literal IN list makes the plan itself large.
-IN_LIST_LIMIT = 1000
-
-
-def semi_join_ids(df: DataFrame, column: str, ids: Sequence[int]) -> DataFrame:
-    if len(ids) <= IN_LIST_LIMIT:
-        return df.filter(F.col(column).isin(*ids))
+def semi_join_ids(df: DataFrame, column: str, ids: Sequence | DataFrame) -> DataFrame:
+    """Rows whose column is among ``ids``: a list, compared in the column's own type, or the one column of a table."""
     from pyspark.sql import types as T
 
     from tidemark.session import local_table
 
-    wanted = local_table(df.sparkSession, [{column: i} for i in set(ids)], T.StructType([T.StructField(column, T.LongType())]))
-    return df.join(wanted, column, "left_semi")
-
-
-def projected(df: DataFrame, columns: Mapping[str, str] | Sequence[str] | str = "*") -> DataFrame:
-    """``*``, a list of columns, or expressions by the name they get."""
-    if columns == "*":
-        return df
-    if isinstance(columns, Mapping):
-        return df.selectExpr(*(f"{expression} AS {name}" for name, expression in columns.items()))
-    return df.select(*columns)
-
+    if not isinstance(ids, DataFrame):
+        ids = local_table(df.sparkSession, [{column: i} for i in set(ids)], T.StructType([T.StructField(column, df.schema[column].dataType)]))
+    return df.join(ids.toDF(column), column, "left_semi")
 
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -43,11 +43,11 @@ def change_records(lines: DataFrame, keys: Sequence[str], record: T.StructType,
 
 
 def prediction_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Partner CSV lines to typed, stamped rows; header and blank lines dropped."""
+    """Partner CSV lines to typed, stamped rows; header and blank lines dropped, lines without an id kept."""
     first = schema.fields[0].name
     text = ", ".join(f"{f.name} STRING" for f in schema.fields)
     parsed = lines.filter("value <> ''").select(F.from_csv("value", text).alias("r")).select("r.*")
-    return stamp(coerce(parsed.filter(F.col(first) != first), schema))
+    return stamp(coerce(parsed.filter(F.coalesce(F.col(first), F.lit("")) != first), schema))
 
 
 def run_available(rows: DataFrame, target: str, checkpoint: str, partition: str | None = None) -> None:
