@@ -68,6 +68,10 @@ ORACLE: dict[str, str] = {
     "temporal_coercion": ingest.temporal_coercion(),
     "replay_upsert": ingest.replay_upsert(),
     "bounded_batches": ingest.bounded_batches(),
+    "ingest_rejects": ingest.ingest_rejects(),
+    "append_and_reload": ingest.append_and_reload(),
+    "window_retry": ingest.window_retry(),
+    "export_nine_tables": ingest.export_nine_tables(),
     "tokens": models.tokens(),
     "lemmas": models.lemmas(),
     "phrases": models.phrases(),

@@ -53,3 +53,29 @@ FROM (SELECT *, row_number() OVER (PARTITION BY client, contact_id, email ORDER
 
 def bounded_batches() -> str:
     return "SELECT count(*) AS rows_kept, CAST(sum(length(text)) AS BIGINT) AS chars_kept, 0 AS over_bound, 0 AS mergeable FROM documents"
+
+
+def ingest_rejects() -> str:
+    return """WITH r AS (SELECT CASE WHEN doc_id % 11 = 0 THEN 'not a record'
+    WHEN doc_id % 13 = 0 AND doc_id % 17 = 0 THEN 'not of its type: doc_id; without client'
+    WHEN doc_id % 13 = 0 THEN 'not of its type: doc_id' WHEN doc_id % 17 = 0 THEN 'without client' ELSE 'good' END AS reason FROM documents)
+SELECT reason, count(*) AS n, count(CASE WHEN reason = 'good' THEN 1 END) AS with_id FROM r GROUP BY 1"""
+
+
+def append_and_reload() -> str:
+    return """WITH o AS (SELECT o_orderkey, o_custkey % 4 AS client_partition_id FROM orders)
+SELECT client_partition_id, count(*) AS n, 0 AS notes, CAST(sum(o_orderkey) AS BIGINT) AS keys, 'append' AS step FROM o GROUP BY 1
+UNION ALL SELECT client_partition_id, count(*), 0, CAST(sum(o_orderkey) AS BIGINT), 'reload' FROM o WHERE client_partition_id = 3 GROUP BY 1"""
+
+
+def window_retry() -> str:
+    return with_views(["lk_orders"], f"""WITH b AS (SELECT max(ingested_at) AS m FROM lk_orders WHERE ingested_at < TIMESTAMP '1996-01-01'),
+w AS (SELECT 1 AS w, client, event_id, ingested_at FROM lk_orders, b WHERE ingested_at <= m UNION ALL SELECT 2, client, event_id, ingested_at FROM lk_orders, b WHERE ingested_at >= m)
+SELECT client, count(*) AS n, min(event_id) AS first_event, strftime(max(ingested_at), {F}) AS last FROM w GROUP BY client, w""")
+
+
+def export_nine_tables() -> str:
+    names = ["pii.users", "staging.emails", "staging.flat_site_visitors", "staging.orders", "staging.product_reviews", "staging.sites", "staging.tasks", "staging.users", "staging.contacts"]
+    cases = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
+    return f"""SELECT CASE o_orderkey % 9 {cases} END AS "table", count(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN 1 END) AS n,
+  CAST(sum(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderkey END) AS BIGINT) AS ids, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS last FROM orders GROUP BY 1"""

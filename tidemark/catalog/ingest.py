@@ -13,10 +13,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import config
 from tidemark import schema as sch
 from tidemark.adapters import Star
 from tidemark.catalog.base import query
 from tidemark.functions import clean, codec
+from tidemark.operators import versions
+from tidemark.plans import incremental, load
 from tidemark.session import work_dir
 from tidemark.sinks import export, tables
 from tidemark.sources import files
@@ -73,6 +76,84 @@ def _(s: Star) -> DataFrame:
     return _document_profile(s.spark.read.parquet(f"{base}/lake"))
 
 
+@query("ingest_rejects")
+def _(s: Star) -> DataFrame:
+    """Good and bad lines of a stream of change records, some broken on purpose, counted by reason."""
+    base = work_dir(s.spark, "rejects")
+    record = F.to_json(F.struct(
+        F.expr("CASE WHEN doc_id % 17 > 0 THEN 'europe' END").alias("client"), F.concat(F.lit("z/"), F.col("doc_id").cast("string")).alias("event_id"),
+        F.expr("concat(CASE WHEN doc_id % 13 = 0 THEN 'x' ELSE '' END, doc_id)").alias("doc_id"), F.length("text").cast("string").alias("text"),
+        F.expr("CASE doc_id % 3 WHEN 0 THEN '0000-00-00 00:00:00' WHEN 1 THEN '2019-01-26T17:34:26.000Z' END").alias("read_at"),
+    ))
+    line = F.when(F.col("doc_id") % 11 == 0, F.substring(record, 1, 20)).otherwise(record)
+    s.documents().select(codec.encrypt_line(line, NEW_KEY).alias("value")).write.text(f"{base}/in")
+    rows = ingest.checked_records(ingest.line_stream(s.spark, f"{base}/in"), [OLD_KEY, NEW_KEY], DOCUMENT_TEXTS, DOCUMENT_LAKE)
+    ingest.run_with_rejects(rows, f"{base}/lake", f"{base}/bad", f"{base}/checkpoint")
+    good = s.spark.read.parquet(f"{base}/lake").select(F.lit("good").alias("reason"), F.col("doc_id").isNotNull().alias("has_id"))
+    bad = s.spark.read.parquet(f"{base}/bad").select(F.col("_reason").alias("reason"), F.lit(False).alias("has_id"))
+    return good.unionByName(bad).groupBy("reason").agg(F.count("*").alias("n"), F.count_if("has_id").alias("with_id"))
+
+
+@query("append_and_reload")
+def _(s: Star) -> DataFrame:
+    """A table created from a declared schema, appended to twice, read with an added column, then reloaded."""
+    path = f"{work_dir(s.spark, 'tables')}/orders"
+    declared = sch.from_json('{"fields": [{"name": "o_orderkey", "type": "INT64", "mode": "REQUIRED"}, {"name": "o_orderdate", "type": "DATETIME"}, {"name": "client_partition_id", "type": "INT64"}]}')
+    rows = s.table("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), (F.col("o_custkey") % 4).alias("client_partition_id"))
+    tables.create_table(s.spark, path, declared, "client_partition_id")
+    for part in (0, 1):
+        tables.append(rows.filter(F.col("o_orderkey") % 2 == part), path, declared, "client_partition_id")
+    added = tables.add_columns(s.spark, path, sch.relax(declared, "o_orderkey"), T.StructField("note", T.StringType()))
+    appended = added.groupBy("client_partition_id").agg(F.count("*").alias("n"), F.count("note").alias("notes"), F.sum("o_orderkey").alias("keys")).withColumn("step", F.lit("append"))
+    again = f"{path}-again"
+    tables.recreate(s.spark, rows, again, declared.json())
+    tables.reload(rows.filter("client_partition_id = 3"), again, declared)
+    reloaded = s.spark.read.parquet(again).groupBy("client_partition_id").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("notes"), F.sum("o_orderkey").alias("keys"))
+    return appended.unionByName(reloaded.withColumn("step", F.lit("reload")))
+
+
+@query("window_retry")
+def _(s: Star) -> DataFrame:
+    """Three runs over lake orders: one dies before its commit, newer rows arrive, the retry and the next run follow."""
+    base = work_dir(s.spark, "windows")
+    rows = s.lake_orders().select("client", "id", "event_id", "ingested_at").filter(F.col("ingested_at").isNotNull())
+    old = rows.filter(F.col("ingested_at") < F.lit("1996-01-01").cast("timestamp_ntz"))
+
+    class Dying(incremental.Marks):
+        def set(self, *args) -> None:
+            raise RuntimeError("the run is lost before its commit")
+
+    def build(source: DataFrame):
+        return lambda first, last: versions.in_window(source, first, last)
+
+    try:
+        incremental.run_window(Dying(s.spark, f"{base}/marks"), "job", "orders", {"orders": old}, build(old), f"{base}/out")
+    except RuntimeError:
+        pass
+    marks = incremental.Marks(s.spark, f"{base}/marks")
+    for _ in range(2):
+        incremental.run_window(marks, "job", "orders", {"orders": rows}, build(rows), f"{base}/out")
+    out = s.spark.read.parquet(f"{base}/out")
+    return out.select("window", "client", "id", "event_id", "ingested_at").groupBy("client", "window").agg(
+        F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.max("ingested_at").alias("last")
+    ).drop("window")
+
+
+@query("export_nine_tables")
+def _(s: Star) -> DataFrame:
+    """Every table of the export list written as NDJSON with its creation filter and read back."""
+    folder = work_dir(s.spark, "nine")
+    base = s.table("orders").selectExpr("o_orderkey AS id", "o_custkey AS tree_user_id", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS moment", "o_orderkey % 9 AS share")
+    marks, found = incremental.Marks(s.spark, f"{folder}/marks"), None
+    for i, (table, created) in enumerate(config.EXPORT_TABLES.items()):
+        rows = base.filter(F.col("share") == i).selectExpr("id", "tree_user_id", f"moment AS {created}", "moment AS ingested_at")
+        window = load.export_table(marks, "export", table, rows, folder, created_after="1995-01-01")
+        back = s.spark.read.schema("id long, tree_user_id long").json(f"{folder}/{table}")
+        one = back.agg(F.count("*").alias("n"), F.sum("id").alias("ids")).withColumns({"table": F.lit(table), "last": F.lit(window.last)})
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query("compress_roundtrip")
 def _(s: Star) -> DataFrame:
     packed = clean.clean_relational(s.documents().select("doc_id", "text"))

@@ -134,3 +134,41 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> Da
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(F.col(column), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return df.withColumn("_r", parsed).select(*(c for c in df.columns if c != column), "_r.*")
+
+
+LINE, REASON = "_line", "_reason"
+
+
+def checked(lines: DataFrame, record: T.StructType, target: T.StructType, column: str = "value") -> DataFrame:
+    """JSON lines as rows of ``target``, with the line as it came and, where it is bad, the reason why.
+
+    Bad is a line that is no record, one with a value that is not of its column's
+    type (a zero date is a missing date, not a bad one), and one without a column
+    the target requires. ``record`` is the record's schema as text fields.
+    """
+    parsed = parse_json(lines.select(column, F.col(column).alias(LINE)), record, column)
+    texts = [f.name for f in record.fields if isinstance(f.dataType, T.StringType)]
+    dated = parsed.withColumns({c: F.when(~F.col(c).contains(ZERO_DATE), F.col(c)) for c in texts})
+    carried = T.StructType([*target.fields, T.StructField(LINE, T.StringType()), T.StructField("_corrupt", T.StringType())])
+    rows = coerce(dated, carried, rejects="_failed")
+    lacking = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in target.fields if not f.nullable]
+    broken = F.col("_corrupt").isNotNull() | (F.trim(LINE) == "")
+    typed = F.when(~broken & (F.size("_failed") > 0), F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
+    without = F.array_join(F.array_compact(F.array(*lacking)), ",") if lacking else F.lit("")
+    missing = F.when(~broken & (without != ""), F.concat(F.lit("without "), without))
+    reason = F.concat_ws("; ", F.when(broken, "not a record"), typed, missing)
+    return rows.withColumn(REASON, F.nullif(reason, F.lit(""))).drop("_corrupt", "_failed")
+
+
+def accepted(rows: DataFrame, strict: bool = False) -> DataFrame:
+    """The good rows of ``checked``; with ``strict`` a bad one stops the job and is named in the error."""
+    if not strict:
+        return rows.filter(F.col(REASON).isNull()).drop(LINE, REASON)
+    first = rows.columns[0]
+    stop = F.raise_error(F.concat(F.lit("bad line, "), F.col(REASON), F.lit(": "), F.substring(LINE, 1, 200)))
+    return rows.withColumn(first, F.when(F.col(REASON).isNotNull(), stop).otherwise(F.col(first))).drop(LINE, REASON)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """``_line, _reason, rejected_at`` of the bad rows: the layout of every reject table."""
+    return stamp(rows.filter(F.col(REASON).isNotNull()).select(LINE, REASON), "rejected_at")

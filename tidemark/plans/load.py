@@ -5,36 +5,68 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark import schema as sch
-from tidemark.functions.clean import clean_relational, coerce, enrich, parse_json, stamp, stringify_temporals
+from tidemark.functions.clean import LINE, REASON, accepted, checked, clean_relational, coerce, enrich, rejected, stamp, stringify_temporals
 from tidemark.plans.incremental import Marks, Window
+from tidemark.session import cut
 from tidemark.sinks import export as out
 from tidemark.sinks import tables as sink
 from tidemark.sources import files
 from tidemark.sources.tables import filtered, jdbc_read
 
 
-def load_changes(spark: SparkSession, folder: str, prefix: str, keys: Sequence[str], record: T.StructType, target: T.StructType, path: str) -> bool:
-    """Encrypted change files to a lake table; False where no file is there."""
+def load_changes(
+    spark: SparkSession, folder: str, prefix: str, keys: Sequence[str], record: T.StructType, target: T.StructType, path: str, rejects: str | None = None
+) -> bool:
+    """Encrypted change files to a lake table; False where no file is there.
+
+    Bad lines are appended to the table ``rejects`` with their reason. Without
+    one, a bad line stops the load before anything is appended.
+    """
     if not files.has_file(spark, folder, prefix):
         return False
     lines = files.decrypt_lines(files.read_lines(spark, folder, f"{prefix}*"), keys)
-    parsed = parse_json(lines.select("value"), record).drop("_corrupt")
-    sink.append(stamp(coerce(parsed, sch.without(target, "ingested_at"))), path, target)
+    rows = checked(lines.select("value"), record, sch.without(target, "ingested_at"))
+    if rejects:
+        rows = cut(rows, "checked")
+        rejected(rows).write.mode("append").parquet(rejects)
+    sink.append(stamp(accepted(rows, strict=not rejects)), path, target)
     return True
 
 
-def load_predictions(spark: SparkSession, folder: str, path: str, extension: str = ".csv") -> bool:
-    """Partner CSV files to the lake's prediction table."""
+def load_routed(
+    spark: SparkSession, folder: str, stream: str, keys: Sequence[str], records: Mapping[str, T.StructType], targets: Mapping[str, T.StructType],
+    lake: str, rejects: str | None = None,
+) -> list[str]:
+    """Every change file of a stream to the lake table its name is routed to; the tables that got rows."""
+    names = [t for p, t in config.routes(stream).items() if t in targets and load_changes(spark, folder, p, keys, records[t], targets[t], f"{lake}/{t}", rejects)]
+    return sorted(names)
+
+
+def load_predictions(spark: SparkSession, folder: str, path: str, extension: str = ".csv", rejects: str | None = None) -> bool:
+    """Partner CSV files to the lake's prediction table.
+
+    Values that are not of their type become NULL; with ``rejects`` such rows go
+    to that table instead, as JSON with the columns named.
+    """
     if not files.has_file(spark, folder):
         return False
     schema = files.PREDICTION_SCHEMA
     rows = files.read_delimited(spark, f"{folder}/*{extension}", schema, schema.fields[0].name)
     full = sch.with_required(schema, T.StructField("ingested_at", T.TimestampType()))
-    sink.append(stamp(coerce(rows, schema)), path, full)
+    if rejects:
+        kept = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
+        typed = cut(coerce(rows.withColumn(LINE, F.to_json(F.struct(*rows.columns))), kept, rejects="_failed"), "checked")
+        bad = F.when(F.size("_failed") > 0, F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
+        typed = typed.withColumn(REASON, bad).drop("_failed")
+        rejected(typed).write.mode("append").parquet(rejects)
+        sink.append(stamp(accepted(typed)), path, full)
+    else:
+        sink.append(stamp(coerce(rows, schema)), path, full)
     return True
 
 

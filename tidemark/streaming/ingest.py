@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema as sch
-from tidemark.functions.clean import coerce, parse_json, stamp
+from tidemark.functions.clean import accepted, checked, coerce, rejected, stamp
 from tidemark.operators.versions import latest_by, newest_first
 from tidemark.sources.files import decrypt_lines, with_file_order
 
@@ -34,12 +34,27 @@ def change_records(lines: DataFrame, keys: Sequence[str], record: T.StructType,
     """Encrypted lines to rows of the lake table: decrypt, parse, coerce, stamp.
 
     The processing time replaces the producer's own ingest time. ``record`` is the
-    record's schema as text fields. Lines no key opens stop the stream.
+    record's schema as text fields. Lines no key opens stop the stream, and so do
+    bad ones; ``checked_records`` with ``run_with_rejects`` sets those apart.
     """
-    plain = decrypt_lines(lines, keys)
-    parsed = parse_json(plain.select("value"), record).drop("_corrupt")
-    stamped = sch.without(target, "ingested_at")
-    return sch.align(stamp(coerce(parsed, stamped)), target)
+    return sch.align(stamp(accepted(checked_records(lines, keys, record, target), strict=True)), target)
+
+
+def checked_records(lines: DataFrame, keys: Sequence[str], record: T.StructType, target: T.StructType) -> DataFrame:
+    """Encrypted lines to rows of the lake table that carry their line and, if bad, the reason."""
+    return checked(decrypt_lines(lines, keys).select("value"), record, sch.without(target, "ingested_at"))
+
+
+def run_with_rejects(rows: DataFrame, target: str, rejects: str, checkpoint: str) -> None:
+    """Good and bad rows of each batch to the batch's own folder of either table; a repeat overwrites it."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        stamp(accepted(batch)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        rejected(batch).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        batch.unpersist()
+
+    rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
 
 
 def prediction_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
