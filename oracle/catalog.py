@@ -76,5 +76,8 @@ ORACLE: dict[str, str] = {
     "lemmas": models.lemmas(),
     "phrases": models.phrases(),
     "phrase_tokens": models.phrase_tokens(),
+    "trigrams": models.trigrams(),
     "document_terms": models.document_terms(),
+    "topic_facts": models.topic_facts(),
+    "recommender_facts": models.recommender_facts(),
 }

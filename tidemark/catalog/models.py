@@ -25,21 +25,32 @@ def _grouped(s: Star) -> DataFrame:
     return cut(topics.tokenized(s.documents_by_quality()), "tokens")
 
 
+def _all_tokens(s: Star) -> DataFrame:
+    return cut(topics.tokenized(s.documents().select("doc_id", "text")), "tokens")
+
+
 @query("phrases")
 def _(s: Star) -> DataFrame:
-    return topics.phrase_table(_grouped(s))
+    return topics.phrase_table(_all_tokens(s))
 
 
 @query("phrase_tokens")
 def _(s: Star) -> DataFrame:
-    docs = _grouped(s)
+    docs = _all_tokens(s)
     return _profile(topics.join_phrases(docs, topics.phrase_table(docs)))
 
 
+@query("trigrams")
+def _(s: Star) -> DataFrame:
+    """Phrases found among the tokens after phrases have been joined once."""
+    docs = _all_tokens(s)
+    return topics.phrase_table(cut(topics.join_phrases(docs, topics.phrase_table(docs)), "bigrams"))
+
+
 @query("lemmas")
 def _(s: Star) -> DataFrame:
     """Plural forms replaced where the singular occurs among the words as well."""
-    docs = cut(topics.tokenized(s.documents().select("doc_id", "text")), "tokens")
+    docs = _all_tokens(s)
     words = docs.select(F.explode("tokens").alias("w")).distinct()
     forms = words.filter(F.col("w").endswith("s")).select(F.col("w").alias("form"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma"))
     known = forms.join(words.withColumnRenamed("w", "lemma"), "lemma", "left_semi")
@@ -94,8 +105,32 @@ def _(s: Star) -> DataFrame:
 def _(s: Star) -> DataFrame:
     docs = _grouped(s)
     _, bags = _bags(s, docs)
-    rows = bags.filter("quality = 1")
-    return topics.best_topics(topics.topic_model(rows), rows)
+    both = [bags.filter(F.col("quality") == group) for group in (1, 0)]
+    good, bad = (topics.best_topics(topics.topic_model(rows), rows) for rows in both)
+    return good.withColumn("quality", F.lit(1)).unionByName(bad.withColumn("quality", F.lit(0)))
+
+
+@query("topic_facts")
+def _(s: Star) -> DataFrame:
+    """What every fitted topic table has: topics, terms of each, and weights that fall and sum to at most one."""
+    rows = _topics(s, _grouped(s), tfidf=False)
+    each = rows.groupBy("quality", "topic").agg(
+        F.count_distinct("term").alias("terms"), F.sum("weight").alias("total"), F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("w")
+    )
+    falling = F.aggregate("w", F.struct(F.lit(True).alias("ok"), F.lit(1.0).alias("last")), lambda a, x: F.struct((a["ok"] & (x["weight"] <= a["last"])).alias("ok"), x["weight"].alias("last")))["ok"]
+    return each.groupBy("quality").agg(
+        F.count("*").alias("topics"), F.min("terms").alias("terms_each"), F.every(falling & (F.col("total") <= 1.0001)).alias("weights_fall")
+    )
+
+
+@query("recommender_facts")
+def _(s: Star) -> DataFrame:
+    """Every rated pair has one estimate on the scale, and every user its best five at most, in falling order."""
+    _, found = recommend.cross_validate(cut(s.ratings(), "ratings"), iterations=3)
+    on_scale = F.col("prediction").between(recommend.LOW, recommend.HIGH)
+    users = recommend.top_n(found).groupBy("user_id").agg(F.count("*").alias("top"), F.min("prediction").alias("least"))
+    pairs = found.groupBy("user_id").agg(F.count("*").alias("pairs"), F.every(on_scale).alias("on_scale"))
+    return pairs.join(users, "user_id").select("user_id", "pairs", "on_scale", "top")
 
 
 @query("recommender_folds")
