@@ -23,12 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.grams import flat, row_blocks
 from tidemark.session import cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65536
 MARGIN = 64
 LONGEST = 16
+BLOCK_BYTES = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NEVER = -np.inf
 
@@ -232,12 +234,19 @@ SCHEMA = "_key string, _id {id}, chunk int, n_chunks int, ids array<int>, n_toke
 CHUNK_SCHEMA = "_key string, _id {id}, chunk int, n_chunks int, lead int, length int, slice string, has_next boolean, marked boolean"
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into stretches of few bytes of text: lists of ids take many times the memory of their text."""
+    for batch in batches:
+        for a, b in row_blocks(flat(batch.column(1))[0], BLOCK_BYTES):
+            yield batch.slice(a, b - a)
+
+
 def _short(path: str):
     """Texts of one chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)
-        for batch in batches:
+        for batch in _blocks(batches):
             texts = [t.as_py() or "" for t in batch.column(1)]
             ids = code.model.encode(texts)
             back = code.model.decode(ids) if ids else []
