@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.grams import flat, row_blocks
+from tidemark.llm.grams import flat, map_batches, row_blocks
 
 Q = 12
 EDIT_SHARE = 0.06
@@ -216,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = f"`{id_col}` {doc_kind}, `{item_col}` {item_kind}, edits long, start_char long, end_char long, shared_grams long"
     out = None
     for index in indexes(benchmark, item_col, item_text_col, **limits):
-        found = kept.mapInArrow(scan(index), schema)
+        found = map_batches(kept, scan(index), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -234,5 +234,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
         return run
 
     for index in indexes(benchmark, item_col, item_text_col, **limits):
-        docs = docs.mapInArrow(sieve(index), docs.schema)
+        docs = map_batches(docs, sieve(index), docs.schema)
     return docs

@@ -6,15 +6,23 @@ of a long one, and n-grams that start in a stretch may end beyond it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 1 << 18
+BATCH_BYTES = 8 << 20
 _A, _B = np.uint32(2654435761), np.uint32(2246822519)
 
 
+def map_batches(rows: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, as a number of rows bounds nothing where texts are long."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(run, schema)
+
+
 def byte_table(lower: bool = True) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     if lower:

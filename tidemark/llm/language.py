@@ -121,7 +121,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
             found = [pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(lead < AMBIGUOUS)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=[*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
 
-    return kept.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double", "ambiguous boolean"]))
+    return grams.map_batches(kept, run, ", ".join([*kinds, "lang_pred string", "score double", "ambiguous boolean"]))
 
 
 def keep_decided(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -137,7 +137,7 @@ def keep_decided(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
                 at += len(x)
             yield batch.filter(pa.array(told))
 
-    return docs.mapInArrow(run, docs.schema)
+    return grams.map_batches(docs, run, docs.schema)
 
 
 def train_on_folds(docs: DataFrame) -> Model:

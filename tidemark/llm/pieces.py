@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.grams import flat, row_blocks
+from tidemark.llm.grams import flat, map_batches, row_blocks
 from tidemark.session import cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -349,13 +349,13 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, model: str, chunk: int)
     kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind, arrow = kept.schema["_id"].dataType.simpleString(), to_arrow_type(kept.schema["_id"].dataType)
     giant = F.coalesce(F.length("_text"), F.lit(0)) > chunk
-    short = kept.where(~giant).mapInArrow(_short(model), SCHEMA.format(id=kind))
-    cuts = cut(kept.where(giant).mapInArrow(_cutter(chunk), CHUNK_SCHEMA.format(id=kind)), "chunks")
+    short = map_batches(kept.where(~giant), _short(model), SCHEMA.format(id=kind))
+    cuts = cut(map_batches(kept.where(giant), _cutter(chunk), CHUNK_SCHEMA.format(id=kind)), "chunks")
     spread = cuts.repartition(F.col("_key"), F.col("chunk"))
-    matrices = spread.mapInArrow(_matrices(model), "_key string, chunk int, height int, matrix array<double>")
+    matrices = map_batches(spread, _matrices(model), "_key string, chunk int, height int, matrix array<double>")
     path = matrices.groupBy("_key").applyInArrow(_backtrace, "_key string, chunk int, enter int, leave int")
     joined = cuts.join(path, ["_key", "chunk"])
-    long = joined.mapInArrow(_between(model, arrow), SCHEMA.format(id=kind))
+    long = map_batches(joined, _between(model, arrow), SCHEMA.format(id=kind))
     return short, long
 
 

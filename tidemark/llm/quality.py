@@ -133,7 +133,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
             values = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*batch.schema.names[:-1], "score"])
 
-    return kept.mapInArrow(run, ", ".join([*kinds, "score double"]))
+    return grams.map_batches(kept, run, ", ".join([*kinds, "score double"]))
 
 
 def held_out_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

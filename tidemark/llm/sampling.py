@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.grams import map_batches
+
 
 def crc(id_col: str) -> Column:
     """crc32 of the id as text."""
@@ -39,7 +41,7 @@ def vectors(rows: DataFrame, text_col: str, group: str, featurize: Callable[[pa.
                 done += len(x)
 
     kind = rows.schema[group].dataType.simpleString()
-    got = rows.select(group, text_col).mapInArrow(run, f"`{group}` {kind}, x binary").toArrow()
+    got = map_batches(rows.select(group, text_col), run, f"`{group}` {kind}, x binary").toArrow()
     names = np.array(got[group].to_pylist())
     x = [np.frombuffer(b, np.float16) for b in got["x"].to_pylist()]
     order = np.lexsort((np.array([b[:64].tobytes() for b in x]), names)) if len(x) else []

@@ -9,6 +9,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.llm.grams import map_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split pattern that belongs to the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -40,7 +42,7 @@ def encoded_lengths(docs: DataFrame, text_col: str = "text", keep: tuple[str, ..
     special tokens are ordinary text. ``vocabulary`` is a file of base64 pieces and ranks that every executor can read."""
     kept = docs.select(*(F.col(name) for name in keep), F.col(text_col).alias("_text"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
-    return kept.mapInArrow(_counter(vocabulary), ", ".join([*kinds, "length long"]))
+    return map_batches(kept, _counter(vocabulary), ", ".join([*kinds, "length long"]))
 
 
 def histogram(lengths: DataFrame, length_col: str = "length") -> DataFrame:
