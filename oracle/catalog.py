@@ -6,6 +6,7 @@ ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
     "days_to_last_sale": cohort.days_to_last_sale(),
     "lifetime_value": cohort.lifetime_value(),
+    "lifetime_value_of_tenant": cohort.lifetime_value("AND client = 'europe'"),
     "cohort_value": cohort.cohort_value(),
     "cohort_uplift": cohort.cohort_uplift(),
     "first_30_day_sellers": cohort.first_month_sellers(),
@@ -71,6 +72,8 @@ ORACLE: dict[str, str] = {
     "ingest_rejects": ingest.ingest_rejects(),
     "append_and_reload": ingest.append_and_reload(),
     "window_retry": ingest.window_retry(),
+    "tapped_rows": ingest.tapped_rows(),
+    "archived_files": ingest.archived_files(),
     "export_nine_tables": ingest.export_nine_tables(),
     "tokens": models.tokens(),
     "lemmas": models.lemmas(),

@@ -79,3 +79,11 @@ def export_nine_tables() -> str:
     cases = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
     return f"""SELECT CASE o_orderkey % 9 {cases} END AS "table", count(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN 1 END) AS n,
   CAST(sum(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderkey END) AS BIGINT) AS ids, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS last FROM orders GROUP BY 1"""
+
+
+def tapped_rows() -> str:
+    return 'SELECT count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS keys, min(o_custkey) AS least, count(*) AS written FROM orders'
+
+
+def archived_files() -> str:
+    return "SELECT count(*) AS rows_read, CAST(sum(n_chars) AS BIGINT) AS chars, true AS archived FROM documents"

@@ -112,6 +112,31 @@ def _(s: Star) -> DataFrame:
     return appended.unionByName(reloaded.withColumn("step", F.lit("reload")))
 
 
+@query("tapped_rows")
+def _(s: Star) -> DataFrame:
+    """Metrics observed while rows are written, next to what the written table holds."""
+    path = f"{work_dir(s.spark, 'tapped')}/orders"
+    rows, seen = clean.tap(s.table("orders").select("o_orderkey", "o_custkey"), "orders", keys=F.sum("o_orderkey"), least=F.min("o_custkey"))
+    rows.write.parquet(path)
+    found = seen.get
+    written = s.spark.read.parquet(path).agg(F.count("*").alias("written"))
+    return written.select(*(F.lit(found[n]).cast("long").alias(n) for n in ("rows", "keys", "least")), "written")
+
+
+@query("archived_files")
+def _(s: Star) -> DataFrame:
+    """Two runs over a folder that gets new files; a later run archives what an earlier one has read."""
+    base = work_dir(s.spark, "archive")
+    for part in (0, 1, 2):
+        lines = s.table("documents").filter(F.col("doc_id") % 3 == part).select(F.concat_ws(",", "doc_id", "n_chars").alias("value"))
+        lines.write.mode("append").text(f"{base}/in")
+        stream = ingest.line_stream(s.spark, f"{base}/in", "part", archive=f"{base}/done").select("value")
+        ingest.run_available(stream, f"{base}/lake", f"{base}/checkpoint")
+    lake = s.spark.read.parquet(f"{base}/lake").select(F.split("value", ",").alias("v"))
+    done = s.spark.read.option("recursiveFileLookup", "true").text(f"{base}/done")
+    return lake.agg(F.count("*").alias("rows_read"), F.sum(F.col("v")[1].cast("long")).alias("chars"), F.lit(not done.isEmpty()).alias("archived"))
+
+
 @query("window_retry")
 def _(s: Star) -> DataFrame:
     """Three runs over lake orders: one dies before its commit, newer rows arrive, the retry and the next run follow."""

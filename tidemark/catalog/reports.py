@@ -28,6 +28,13 @@ def _(s: Star) -> DataFrame:
     return cohort.lifetime_value(s.users(), s.orders(), LOW, HIGH)
 
 
+@query("lifetime_value_of_tenant")
+def _(s: Star) -> DataFrame:
+    """The same report for one tenant, named in another case."""
+    owners = s.users().selectExpr("tree_user_id AS commission_user_id", "client")
+    return cohort.lifetime_value(s.users(), s.orders().join(owners, "commission_user_id"), LOW, HIGH, client="Europe")
+
+
 @query("cohort_value")
 def _(s: Star) -> DataFrame:
     return cohort.cohort_value(s.users(), s.orders(), LOW, HIGH)

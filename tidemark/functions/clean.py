@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,12 @@ def enrich(df: DataFrame, tenant: str) -> DataFrame:
     )
 
 
+def tap(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The rows unchanged, and what is counted about them as they pass; ``get`` it after the action that reads them."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(n) for n, m in metrics.items())), seen
+
+
 def _is_temporal(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import FINE_DAY_BUCKETS, bucketize, complete_units, days_between
 from tidemark.functions.rules import membership_type, product_type
 from tidemark.operators.aggregates import count_if, share, sum_if, sum_if_or_zero
+from tidemark.operators.versions import union_all
+from tidemark.session import cut
 
 
 def _item_classes() -> dict[str, Column]:
@@ -178,21 +180,20 @@ def downline_rollup(members: DataFrame, measures: Mapping[str, Column], generati
 
     A member's generation ``g`` is the sum of the children's generation ``g-1``,
     so each step is one grouping by sponsor (combined before the shuffle) and one
-    join of two keyed sets. No member-ancestor pair is ever built. Columns are
-    ``<measure>_g1`` ... ``<measure>_g<generations>``.
+    join of two keyed sets. A step reads the sums of the step before only, which
+    are written once, as is the base. No member-ancestor pair is ever built.
+    Columns are ``<measure>_g1`` ... ``<measure>_g<generations>``.
     """
-    base = members.select(
-        "tree_user_id", "sponsor_id", *(F.coalesce(c, F.lit(0)).alias(f"{m}_g0") for m, c in measures.items())
-    )
-    names = [f"{m}_g{g}" for g in range(1, generations + 1) for m in measures]
-    state = base
+    base = cut(members.select("tree_user_id", "sponsor_id", *(F.coalesce(c, F.lit(0)).alias(m) for m, c in measures.items())), "members")
+    sponsors, layer, layers = base.select("tree_user_id", "sponsor_id"), base, []
     for depth in range(1, generations + 1):
-        below = state.filter(F.col("sponsor_id").isNotNull()).groupBy(F.col("sponsor_id").alias("tree_user_id")).agg(
-            *(F.sum(f"{m}_g{g - 1}").alias(f"{m}_g{g}") for g in range(1, depth + 1) for m in measures)
-        )
-        sums = [c for c in below.columns if c != "tree_user_id"]
-        state = base.join(below, "tree_user_id", "left").na.fill(0, sums)
-    return state.select("tree_user_id", *names)
+        below = layer.filter(F.col("sponsor_id").isNotNull()).groupBy(F.col("sponsor_id").alias("tree_user_id")).agg(*(F.sum(m).alias(m) for m in measures))
+        below = cut(below, "generation")
+        layers.append(below.withColumn("_g", F.lit(depth)))
+        layer = sponsors.join(below, "tree_user_id")
+    names = {f"{m}_g{g}": F.sum(F.when(F.col("_g") == g, F.col(m))) for g in range(1, generations + 1) for m in measures}
+    wide = union_all(layers).groupBy("tree_user_id").agg(*(c.alias(n) for n, c in names.items()))
+    return base.select("tree_user_id").join(wide, "tree_user_id", "left").na.fill(0, list(names))
 
 
 def distributor_downlines(users: DataFrame, orders: DataFrame, as_of, generations: int = 6) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,15 +31,19 @@ def file_sequence(name: Column, pattern: str = SEQUENCE) -> Column:
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).try_cast("long")
 
 
-def list_files(spark: SparkSession, folder: str, starts_with: str = "", contains: str = "", pattern: str = SEQUENCE) -> DataFrame:
+def list_files(
+    spark: SparkSession, folder: str, starts_with: str = "", contains: str = "", pattern: str = SEQUENCE, key: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """``path, file_name, file_seq`` of files directly in the folder, by sequence then name.
 
-    Listing is Spark's own; file contents are not read.
+    ``key`` makes the sort key from the name where the number at its end is not
+    wanted. Listing is Spark's own; file contents are not read.
     """
     files = spark.read.format("binaryFile").load(folder).select("path")
     named = files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
     wanted = named.filter(F.col("file_name").startswith(starts_with) & F.col("file_name").contains(contains))
-    return wanted.withColumn("file_seq", file_sequence(F.col("file_name"), pattern)).orderBy(F.asc_nulls_last("file_seq"), "file_name")
+    sequence = key(F.col("file_name")) if key else file_sequence(F.col("file_name"), pattern)
+    return wanted.withColumn("file_seq", sequence).orderBy(F.asc_nulls_last("file_seq"), "file_name")
 
 
 def has_file(spark: SparkSession, folder: str, prefix: str = "") -> bool:
