@@ -59,7 +59,7 @@ def corpus():
 
 def test_against_the_plain_tree(frame):
     docs = corpus()
-    rows = frame("doc_id long, text string, lines string, _leaf long", *((i, t, "", 1) for i, t in docs))
+    rows = frame("doc_id long, text string, lines string, _id long, _drop long", *((i, t, "", 1, 1) for i, t in docs))
     got = {r.doc_id: r for r in lines.drop_recurring(rows, min_docs=5).collect()}
     want = plain(docs, 5)
     assert {i: r.text for i, r in got.items()} == want

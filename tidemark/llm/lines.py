@@ -80,15 +80,15 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = recurring_lines(docs, id_col, text_col, min_docs, depth)
     first = rows.groupBy("_template").agg(F.min(F.struct("_id", "_no")).alias("_first"))
     gone = rows.join(first, "_template").where(F.struct("_id", "_no") != F.col("_first"))
-    drops = gone.where(F.col("_id").isNotNull()).groupBy("_id", "_sig").agg(F.collect_set("_no").alias("_drop"))
+    drops = gone.where(F.col("_id").isNotNull()).groupBy(F.col("_id").alias("__id"), F.col("_sig").alias("__sig")).agg(F.collect_set("_no").alias("__drop"))
     given = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    signed = docs.withColumns({"_key": F.col(id_col), "_sign": F.xxhash64(text, F.length(text))})
-    found = signed.join(drops, (F.col("_key") == F.col("_id")) & (F.col("_sign") == F.col("_sig")), "left")
+    signed = docs.withColumns({"__key": F.col(id_col), "__sign": F.xxhash64(text, F.length(text))})
+    found = signed.join(drops, (F.col("__key") == F.col("__id")) & (F.col("__sign") == F.col("__sig")), "left")
     parts = F.split(F.col(text_col), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drop"))
-    cleaned = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    counts = {"lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)), "lines_dropped": F.coalesce(F.size("_drop"), F.lit(0))}
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drop"))
+    cleaned = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    counts = {"lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)), "lines_dropped": F.coalesce(F.size("__drop"), F.lit(0))}
     others = [F.col(c) for c in given if c not in (text_col, *counts)]
     out = found.select(*others, cleaned.alias(text_col), *(v.alias(k) for k, v in counts.items()))
     return out.select(*[c for c in given if c not in counts], *counts)
