@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -25,8 +26,18 @@ RUNTIME_OPTIONS = {
 }
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find the package from whatever folder the session was started. On a cluster the executors
+    have it installed; a folder that is not there is ignored."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL options on an existing session."""
+    share_code(spark)
     for name, value in RUNTIME_OPTIONS.items():
         spark.conf.set(name, value)
     return spark
