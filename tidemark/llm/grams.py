@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.session import share_code
+
 BLOCK_BYTES = 1 << 18
 BATCH_BYTES = 8 << 20
 _A, _B = np.uint32(2654435761), np.uint32(2246822519)
@@ -19,6 +21,7 @@ _A, _B = np.uint32(2654435761), np.uint32(2246822519)
 
 def map_batches(rows: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, as a number of rows bounds nothing where texts are long."""
+    share_code(rows.sparkSession)
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return rows.mapInArrow(run, schema)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from tidemark.session import work_dir
+from tidemark.session import share_code, work_dir
 
 VERSION = b"WARC/1.1\r\n"
 RANGE_BYTES = 8 << 20
@@ -224,6 +224,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    share_code(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
