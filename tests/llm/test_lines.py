@@ -82,3 +82,12 @@ def test_exact_copies_count_once(frame):
 
 def test_empty_table(frame):
     assert lines.report(frame("doc_id long, text string")).count() == 0
+
+
+def test_a_long_line_of_two_documents_goes_from_the_second(frame):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    shared, *own = (" ".join(word() for _ in range(60)) for _ in range(5))
+    rows = frame("doc_id long, text string", (1, f"{own[0]}\n{shared}\n{own[1]}"), (2, f"{own[2]}\n{own[3]}\n{shared}"))
+    got = {r.doc_id: (r.text, r.lines_dropped) for r in lines.drop_recurring(rows).collect()}
+    assert got == {1: (f"{own[0]}\n{shared}\n{own[1]}", 0), 2: (f"{own[2]}\n{own[3]}", 1)}

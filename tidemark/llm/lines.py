@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import cut
 
-MIN_DOCS = 5
+MIN_DOCS = 2
 DEPTH = 3
 CONSTANT_SHARE = 0.7
 FREE_SHARE = 0.5
