@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
+
 from tidemark.llm import lines
 
 
@@ -91,3 +93,13 @@ def test_a_long_line_of_two_documents_goes_from_the_second(frame):
     rows = frame("doc_id long, text string", (1, f"{own[0]}\n{shared}\n{own[1]}"), (2, f"{own[2]}\n{own[3]}\n{shared}"))
     got = {r.doc_id: (r.text, r.lines_dropped) for r in lines.drop_recurring(rows).collect()}
     assert got == {1: (f"{own[0]}\n{shared}\n{own[1]}", 0), 2: (f"{own[2]}\n{own[3]}", 1)}
+
+
+@pytest.mark.parametrize("n", [500, 10_000])
+def test_a_template_with_two_fields_is_one_at_any_size(frame, n):
+    rng = random.Random(n)
+    value = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
+    docs = [(i, f"Posted in the {value()} section by {value()} for readers today") for i in range(n)]
+    docs += [(n + i, f"Posted in the {value()} archive with {value()} among its pages") for i in range(n // 50)]  # a small group in the leaf
+    out = lines.drop_recurring(frame("doc_id long, text string", *docs)).where("lines_dropped = 0").collect()
+    assert sorted(r.doc_id for r in out) == [0, n]

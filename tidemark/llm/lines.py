@@ -1,10 +1,13 @@
 """Line deduplication by a log-template tree.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens. Tokens with a digit are
-variable fields and count as ``<*>`` from the start. In a leaf, a token that enough lines have at a place is a
-constant of that place; other tokens are variable and generalised. What is left is the line's template. A template
-whose share of constants is too small is none. Lines of templates that recur across documents are dropped, but for
-one: the first line of the first document stays, so that nothing vanishes from the corpus.
+variable fields and count as ``<*>`` from the start. In a leaf, a token that a tenth of the leaf's texts have at a
+place is a constant of that place; other tokens are variable and generalised. What is left is the line's template. A
+template whose share of constants is too small is none: for such lines, which belong to a smaller group in the leaf,
+the share is halved until there is a template, or no token less common that is in ``MIN_DOCS`` texts at all. As shares
+and not counts decide, a template stays whole however many texts have it. Lines of templates that recur across
+documents are dropped, but for one: the first line of the first document stays, so that nothing vanishes from the
+corpus.
 
 Unlike a parser that meets lines one by one, the result does not depend on the order of rows, and no leaf is held
 in one task: supports, templates and documents are counted by hash aggregation with partial sums.
@@ -18,6 +21,7 @@ from tidemark.session import cut
 
 MIN_DOCS = 2
 DEPTH = 3
+LEAF_PARTS = 10
 CONSTANT_SHARE = 0.7
 FREE_SHARE = 0.5
 WILD = "<*>"
@@ -43,28 +47,40 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame
 
 
 def _in_documents(rows: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
-    """Keys that at least ``min_docs`` different texts have."""
+    """Keys that at least ``min_docs`` different texts have, and how many those are: ``_texts``."""
     once = rows.groupBy(*keys, "_sig").agg(F.lit(1).alias("_one"))
-    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") >= min_docs).drop("_docs")
+    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias("_texts")).where(F.col("_texts") >= min_docs)
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:
     """``(_id, _sig, _no, _template)`` of the lines whose template at least ``min_docs`` different texts have."""
     leaves = _in_documents(_lines(docs, id_col, text_col, depth).select("_leaf", "_sig"), ["_leaf"], min_docs)
-    rows = cut(_lines(docs, id_col, text_col, depth).join(leaves, "_leaf", "left_semi"), "lines")
-    once = rows.groupBy("_leaf", "_line", "_sig").agg(F.min("_masked").alias("_masked"), F.min("_n").alias("_n"))
-    known = cut(once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs"), F.min("_masked").alias("_masked"), F.min("_n").alias("_n")), "line-kinds")
-    tokens = known.select("_leaf", "_line", "_n", "_docs", F.posexplode(F.split("_masked", " ")).alias("_at", "_token"))
+    rows = cut(_lines(docs, id_col, text_col, depth).join(leaves, "_leaf"), "lines")
+    once = rows.groupBy("_leaf", "_line", "_sig").agg(*(F.min(c).alias(c) for c in ("_masked", "_n", "_texts")))
+    known = cut(once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs"), *(F.min(c).alias(c) for c in ("_masked", "_n", "_texts"))), "line-kinds")
+    tokens = known.select("_leaf", "_line", "_n", "_docs", "_texts", F.posexplode(F.split("_masked", " ")).alias("_at", "_token"))
     tokens = tokens.withColumn("_token", F.xxhash64("_at", "_token"))
-    constants = tokens.groupBy("_leaf", "_token").agg(F.sum("_docs").alias("_support")).where(F.col("_support") >= min_docs).drop("_support")
-    # the template is the set of constants with their places: a sum of hashes needs no list of them
-    fixed = (
-        tokens.join(constants, ["_leaf", "_token"]).groupBy("_leaf", "_line", "_n")
-        .agg(F.count(F.lit(1)).alias("_fixed"), F.sum(F.col("_token").cast("decimal(38,0)")).alias("_sum"))
+    support = tokens.groupBy("_leaf", "_token").agg(F.sum("_docs").alias("_support"), F.min("_texts").alias("_texts")).where(F.col("_support") >= min_docs)
+    # how often the share of a tenth is halved until the token has it
+    over = F.expr(f"(_texts - 1) div ({LEAF_PARTS} * _support)")
+    constants = support.select("_leaf", "_token", F.when(over > 0, F.length(F.bin(over))).otherwise(0).alias("_step"))
+    # the template is the set of constants with their places: an xor of hashes needs no list of them
+    steps = (
+        tokens.drop("_docs", "_texts").join(constants, ["_leaf", "_token"]).groupBy("_leaf", "_line", "_n", "_step")
+        .agg(F.count(F.lit(1)).alias("_fixed"), F.bit_xor("_token").alias("_set"))
+        .groupBy("_leaf", "_line", "_n").agg(F.array_sort(F.collect_list(F.struct("_step", "_fixed", "_set"))).alias("_steps"))
     )
     free = F.greatest(F.col("_n") - depth, F.lit(0))
-    solid = (F.col("_fixed") >= F.col("_n") * CONSTANT_SHARE) & (F.col("_fixed") - F.least("_n", F.lit(depth)) >= free * FREE_SHARE)
-    templates = fixed.where(solid).select("_leaf", "_line", F.xxhash64("_leaf", "_n", F.col("_sum").cast("string")).alias("_template"))
+
+    def solid(fixed: Column) -> Column:
+        return (fixed >= F.col("_n") * CONSTANT_SHARE) & (fixed - F.least("_n", F.lit(depth)) >= free * FREE_SHARE)
+
+    def state(fixed: Column, tokens: Column) -> Column:
+        return F.struct(fixed.alias("_fixed"), tokens.alias("_set"))
+
+    none = state(F.lit(0).cast("long"), F.lit(0).cast("long"))
+    widest = F.aggregate("_steps", none, lambda a, x: F.when(solid(a["_fixed"]), a).otherwise(state(a["_fixed"] + x["_fixed"], a["_set"].bitwiseXOR(x["_set"]))))
+    templates = steps.withColumn("_made", widest).where(solid(F.col("_made._fixed"))).select("_leaf", "_line", F.xxhash64("_leaf", "_n", "_made._set").alias("_template"))
     named = cut(rows.select("_id", "_sig", "_no", "_leaf", "_line").join(templates, ["_leaf", "_line"]).drop("_leaf", "_line"), "line-templates")
     return named.join(_in_documents(named, ["_template"], min_docs), "_template", "left_semi")
 
