@@ -84,3 +84,22 @@ def test_empty_table(spark, pages):
 def test_least_bytes(pages):
     kinds = {r.record_id: r.warc_type for r in warc.records(pages, least_bytes=1).collect()}
     assert kinds["<urn:x-page:4>"] == "response" and kinds["<urn:x-page:2>"] == "revisit"
+
+
+def long_url(n):
+    return "http://" + "".join(hashlib.sha256(b"%d" % i).hexdigest() for i in range(-(-n // 64)))[:n]
+
+
+def test_headers_of_any_length(spark):
+    rows = [(1, long_url(20_000), "same"), (2, long_url(20_000), "same"), (3, long_url(30_000), "other" * 9_999), (4, "http://d", "plain")]
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: (len(h), digest(h), "revisit" if i == 2 else "response", 1 if i == 2 else None) for i, _, h in rows}
+
+
+def test_a_cut_at_any_place_of_the_headers(tmp_path):
+    columns = [c.split()[0] for c in warc.WRITTEN.split(", ")]
+    writer = warc.WarcWriter(str(tmp_path), columns)
+    sizes = range(7_000, 8_400, 5)  # the bytes read first end before, in and after the HTTP header
+    writer.commit([writer.write(iter([(f"<urn:x-page:{n}>", "revisit", long_url(n), "<urn:x-page:1>", digest("p"), n, None) for n in sizes]))])
+    reader = warc.WarcReader(str(tmp_path), False, False)
+    assert [(r[2], r[5]) for part in reader.partitions() for r in reader.read(part)] == [(long_url(n), n) for n in sizes]

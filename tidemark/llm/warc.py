@@ -72,17 +72,21 @@ def _headers(block: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines) if v}
 
 
+class Torn(ValueError):
+    """The bytes of a member end inside its headers."""
+
+
 def unpack(member: bytes, wanted, with_payload: bool, verify: bool) -> tuple | None:
     """The record of a gzip member (from its first byte), or None if ``wanted`` refuses its headers.
 
-    Only the first bytes are inflated until the headers are whole and accepted.
+    Only the first bytes are inflated until the headers are whole and accepted; ``Torn`` if ``member`` is cut before.
     """
     inflate = zlib.decompressobj(31)
     plain, rest = b"", member
     while (end := plain.find(b"\r\n\r\n")) < 0:
-        more = inflate.decompress(rest, HEAD_BYTES)
+        more = inflate.decompress(rest, max(HEAD_BYTES, len(plain)))
         if not more:
-            raise ValueError("a WARC record ends inside its header")
+            raise Torn("a WARC record ends inside its header")
         plain, rest = plain + more, inflate.unconsumed_tail
     if not plain.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
@@ -93,8 +97,10 @@ def unpack(member: bytes, wanted, with_payload: bool, verify: bool) -> tuple | N
         return None
     full = with_payload and row["warc_type"] != "revisit"
     while (split := plain.find(b"\r\n\r\n", end + 4)) < 0 or full and rest:
-        more = inflate.decompress(rest, 0 if full else HEAD_BYTES)
+        more = inflate.decompress(rest, 0 if full else max(HEAD_BYTES, len(plain)))
         if not more:
+            if not inflate.eof:
+                raise Torn("a WARC record ends inside its HTTP header or payload")
             break
         plain, rest = plain + more, inflate.unconsumed_tail
     length = _headers(plain[end + 4 : split]).get("content-length")
@@ -139,6 +145,17 @@ class WarcReader(DataSourceReader):
         cuts = [(name, starts) for name, starts in files if len(starts) > 1]
         return [Range(name, a, b) for name, starts in cuts for a, b in zip(starts, starts[1:])] or [Range("", 0, 0)]
 
+    def _headers(self, file, member: bytes, size: int) -> tuple[tuple | None, bytes]:
+        """The record without its payload and the bytes read of it: twice as many as long as its headers go on."""
+        while True:
+            try:
+                return unpack(member, self.wanted, False, False), member
+            except Torn:
+                more = file.read(min(size - len(member), len(member)))
+                if not more:
+                    raise
+                member += more
+
     def read(self, part: Range) -> Iterator[tuple]:
         if not part.path:
             return
@@ -153,11 +170,11 @@ class WarcReader(DataSourceReader):
                 size = struct.unpack("<I", lead[16:20])[0]
                 # headers first: a refused record costs these few bytes
                 member = lead + file.read(min(size - 24, HEAD_BYTES))
-                if not self.wanted or not self.payload or len(member) == size:
-                    row = unpack(member if not self.payload or len(member) == size else member + file.read(size - len(member)), self.wanted, self.payload, self.verify)
+                if self.payload and (not self.wanted or len(member) == size):
+                    row = unpack(member + file.read(size - len(member)), self.wanted, True, self.verify)
                 else:
-                    row = unpack(member, self.wanted, False, False)
-                    if row is not None:
+                    row, member = self._headers(file, member, size)
+                    if row is not None and self.payload:
                         row = unpack(member + file.read(size - len(member)), self.wanted, True, self.verify)
                 if row is not None:
                     yield row
