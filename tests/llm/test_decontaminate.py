@@ -77,3 +77,14 @@ def test_empty_tables(frame):
     bench, docs = frame("item_id long, text string"), frame("doc_id long, text string")
     assert d.contaminated(docs, bench).count() == 0 and d.clean(docs, frame("item_id long, text string", (1, ITEM))).count() == 0
     assert d.clean(frame("doc_id long, text string", (1, ITEM)), bench).count() == 1
+
+
+def test_short_items_are_found_within_the_budget():
+    letters = "abcdefghijklmnopqrstuvwxyz012345678"
+    for size, places in ((5, ()), (11, ()), (12, ()), (17, (8,)), (22, (11,)), (23, (11,)), (34, (11, 22)), (35, (11, 23))):
+        text = list(letters[:size])
+        for at in places:
+            text[at] = "9"
+        index = d.build([1, 2], [letters[:size], ITEM])
+        got = list(d._passages(pa.array(["zz zz", f"zz {''.join(text)} zz {ITEM}"]), index))
+        assert [g[:4] for g in got] == [(1, 0, len(places), 3), (1, 1, 0, size + 7)], size

@@ -4,7 +4,9 @@ Texts are compared as UTF-8 bytes in lower case, where every run of other than l
 one space. An item of ``m`` bytes may differ from a passage by ``k`` edits. A passage within ``k`` edits shares at
 least ``m + 1 - q * (k + 1)`` q-grams with the item, all on diagonals that span at most ``k``; so each lies in one of
 the bands of ``2 * (k + 1)`` diagonals that start at every multiple of ``k + 1``. Bands with enough shared q-grams are
-retained and verified by an alignment of the whole item inside the band. The filter loses nothing.
+retained and verified by an alignment of the whole item inside the band. ``q`` is 12, or for a short item as much less
+as it takes for at least one shared q-gram; an item without edits and under 12 bytes is one q-gram. The filter loses
+nothing.
 """
 
 from __future__ import annotations
@@ -49,11 +51,16 @@ def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return text[places], np.searchsorted(places, own), places
 
 
-def gram_codes(text: np.ndarray) -> np.ndarray:
-    """A 64-bit code of the ``Q`` bytes from each place on."""
-    n = len(text) - Q + 1
+def gram_codes(text: np.ndarray, q: int = Q) -> np.ndarray:
+    """A 64-bit code of the ``q`` bytes from each place on, at most ``Q``."""
+    n = len(text) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    if q < Q:
+        code = np.full(n, q, np.uint64)
+        for i in range(q):
+            code = (code + text[i : n + i]) * _MUL[i % 3]
+        return code ^ (code >> np.uint64(29))
     four = text[: len(text) - 3].astype(np.uint32)
     for i in (1, 2, 3):
         four |= text[i : len(text) - 3 + i].astype(np.uint32) << np.uint32(8 * i)
@@ -70,6 +77,7 @@ class Index:
     ids: list
     texts: list[bytes]
     edits: np.ndarray
+    sizes: list[int]
     least: np.ndarray
     codes: np.ndarray
     starts: np.ndarray
@@ -79,15 +87,16 @@ class Index:
 
 
 def build(ids: list, texts: list[str | None], edit_share: float = EDIT_SHARE) -> Index:
-    """Items shorter than ``Q`` normalised bytes identify no passage and are left out, as are null texts."""
+    """Null texts and those without a letter or digit are left out."""
     offsets, data = flat(pa.array(texts, pa.string()))
     text, own, _ = normalise(data, offsets)
     plain = [text[a:b].tobytes().rstrip(b" ") for a, b in zip(own, own[1:])]
-    keep = [i for i, t in enumerate(plain) if len(t) >= Q]
+    keep = [i for i, t in enumerate(plain) if t]
     plain = [plain[i] for i in keep]
     sizes = np.array([len(t) for t in plain], np.int64)
-    edits = np.minimum((sizes * edit_share).astype(np.int64), (sizes + 1) // Q - 1)
-    grams = [gram_codes(np.frombuffer(t, np.uint8)) for t in plain]
+    edits = np.minimum((sizes * edit_share).astype(np.int64), sizes - 1)
+    qs = np.minimum(Q, sizes // (edits + 1))
+    grams = [gram_codes(np.frombuffer(t, np.uint8), q) for t, q in zip(plain, qs.tolist())]
     code = np.concatenate([*grams, np.zeros(0, np.uint64)])
     item = np.repeat(np.arange(len(plain)), [len(g) for g in grams])
     place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)]).astype(np.int64)
@@ -95,7 +104,7 @@ def build(ids: list, texts: list[str | None], edit_share: float = EDIT_SHARE) ->
     codes, starts = np.unique(code[order], return_index=True)
     seen = np.zeros(1 << _BITS, bool)
     seen[codes >> np.uint64(64 - _BITS)] = True
-    return Index([ids[i] for i in keep], plain, edits, sizes + 1 - Q * (edits + 1), codes, np.append(starts, len(code)), item[order], place[order], seen)
+    return Index([ids[i] for i in keep], plain, edits, sorted(set(qs.tolist())), sizes + 1 - qs * (edits + 1), codes, np.append(starts, len(code)), item[order], place[order], seen)
 
 
 def align(item: bytes, region: bytes, most: int) -> tuple[int, int, int] | None:
@@ -126,19 +135,19 @@ def find(text: np.ndarray, own: np.ndarray, index: Index) -> Iterator[tuple[int,
     """``(row, item, edits, start, end, shared)``: of each row and item the closest passage, places counted from the
     start of the row; ``shared`` is the most q-grams a retained band has."""
     hits = []
-    for at in range(0, max(0, len(text) - Q + 1), STRETCH):
-        code = gram_codes(text[at : at + STRETCH + Q - 1])
+    for q, at in ((q, at) for q in index.sizes for at in range(0, max(0, len(text) - q + 1), STRETCH)):
+        code = gram_codes(text[at : at + STRETCH + q - 1], q)
         maybe = np.flatnonzero(index.seen[code >> np.uint64(64 - _BITS)])
         if not len(maybe) or not len(index.codes):
             continue
         slot = np.minimum(np.searchsorted(index.codes, code[maybe]), len(index.codes) - 1)
         real = index.codes[slot] == code[maybe]
-        hits.append((maybe[real] + at, slot[real]))
+        hits.append((maybe[real] + at, slot[real], np.full(int(real.sum()), q)))
     if not hits:
         return
-    where, slot = (np.concatenate(x) for x in zip(*hits))
+    where, slot, size = (np.concatenate(x) for x in zip(*hits))
     row = np.searchsorted(own, where, "right") - 1
-    whole = where + Q <= own[row + 1]
+    whole = where + size <= own[row + 1]
     where, slot, row = where[whole], slot[whole], row[whole]
     times = index.starts[slot + 1] - index.starts[slot]
     entry = np.repeat(index.starts[slot] - np.cumsum(times) + times, times) + np.arange(times.sum())
