@@ -21,7 +21,7 @@ def duck():
 
 
 def test_names():
-    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) and "pipeline" in queries()
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, exact, jaccard, language, lines, pieces, quality, token_counts, warc
+from tidemark.llm import chat, decontaminate, exact, impact, jaccard, language, lexical, lines, pieces, prefix_trie, quality, token_counts, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,5 +51,21 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.rotate(_table(spark, folder, "conversations")))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality, op3_token_counts, op4_sentencepiece, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup, op9_ngram_jaccard, op10_chat_format)}
-ORACLE = {"op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op9_ngram_jaccard": jaccard.ORACLE, "op10_chat_format": chat.ORACLE}
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return impact.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.shared(_table(spark, folder, "conversations"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_decontaminate, op2_quality, op3_token_counts, op4_sentencepiece, op5_line_dedup, op6_language, op7_warc, op8_exact_dedup,
+    op9_ngram_jaccard, op10_chat_format, op11_topk, op12_lexical, op13_prefix_trie)}
+ORACLE = {
+    "op7_warc": warc.ORACLE, "op8_exact_dedup": exact.ORACLE, "op9_ngram_jaccard": jaccard.ORACLE, "op10_chat_format": chat.ORACLE,
+    "op11_topk": impact.ORACLE, "op12_lexical": lexical.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
