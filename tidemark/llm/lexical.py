@@ -34,6 +34,8 @@ BITS_PER_TERM = 8
 ITEM_BYTES = 16 << 20
 SEED_BLOCKS = 64
 ITEMS_AT_ONCE = 64
+PAIRS_AT_ONCE = 1024
+BATCH_BYTES = 2 << 20
 K1000, B100, FLAT100 = 8, 90, 10
 
 #: Bytes that end a term count as spaces; letters, digits and all bytes of other than ASCII characters belong to terms.
@@ -127,7 +129,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_pylist([block], _INDEX)
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return cut(map_batches(rows, run, INDEX), "lexical-index")
+    return cut(_map(rows, run, INDEX), "lexical-index")
 
 
 def items(queries: DataFrame, id_col: str = "item_id", text_col: str = "text", item_bytes: int = ITEM_BYTES) -> Iterator[tuple[list[int], list[np.ndarray]]]:
@@ -140,7 +142,7 @@ def items(queries: DataFrame, id_col: str = "item_id", text_col: str = "text", i
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(hashes.view(np.int64))], names=["_id", "_term"])
 
     rows = queries.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    terms = cut(map_batches(rows, run, "_id long, _term long").distinct(), "lexical-items")
+    terms = cut(_map(rows, run, "_id long, _term long").distinct(), "lexical-items")
     parts = -(-terms.count() * 16 // item_bytes) or 1
     for part in range(parts):
         got = terms.where(F.pmod(F.xxhash64("_id"), F.lit(parts)) == part).toArrow()
@@ -178,7 +180,7 @@ def plan(blocks: DataFrame, ids: list[int], terms: list[np.ndarray]) -> Plan:
 
     df = np.zeros(len(known), np.int64)
     if len(known):
-        got = map_batches(blocks.select("terms"), count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+        got = _map(blocks.select("terms"), count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
         df[got["term"].to_numpy()] = got["df"].to_numpy()
     n = total["n_docs"]
     weight = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
@@ -190,7 +192,7 @@ def _share(times: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 class _Group:
-    """Some of a plan's items, with their terms as columns of one matrix of weights."""
+    """Some of a plan's items, as pairs of item and term."""
 
     def __init__(self, given: Plan, lo: int, hi: int):
         self.items = range(lo, hi)
@@ -198,15 +200,14 @@ class _Group:
         self.codes = [_in_plane(self.known, p) for p in range(PLANES)]
         self.columns = [np.searchsorted(self.known, given.terms[i]) for i in self.items]
         self.weights = [given.weights[i] for i in self.items]
-        exact = max(int(w.sum()) for w in self.weights) < 1 << 24
-        self.matrix = np.zeros((hi - lo, len(self.known)), np.float32 if exact else np.float64)
-        for i, (at, w) in enumerate(zip(self.columns, self.weights)):
-            self.matrix[i, at] = w
+        self.pair_item = np.repeat(np.arange(hi - lo), [len(c) for c in self.columns])
+        self.pair_term, self.pair_weight = np.concatenate(self.columns), np.concatenate(self.weights)
 
     def bounds(self, bits: np.ndarray, docs: int, lengths: np.ndarray, m: np.ndarray) -> np.ndarray:
         """Upper bounds of all scores, items by documents, from the slice sums of the signature's planes."""
         total = np.zeros((len(self.items), docs), np.int64)
         active, had, before = np.arange(len(self.known)), None, 0
+        place = np.zeros(len(self.known), np.int64)
         for plane in range(PLANES):
             rows = bits[_place(self.codes[plane][active], 0, len(bits))]
             for i in range(1, HASHES):
@@ -217,11 +218,18 @@ class _Group:
             active, had = active[some], rows[some]
             if not len(active):
                 break
-            there = np.unpackbits(had, axis=1, count=docs)
-            slices = self.matrix[:, active] @ there.astype(self.matrix.dtype)
+            place[:] = -1
+            place[active] = np.arange(len(active))
             most = lengths if plane == PLANES - 1 else np.minimum(lengths, (2 << plane) - 1)
             share = _share(most, m)
-            total += slices.astype(np.int64) * (share - before)
+            pairs = np.flatnonzero(place[self.pair_term] >= 0)
+            for lo in range(0, len(pairs), PAIRS_AT_ONCE):  # bounded, however many terms an item has
+                part = pairs[lo : lo + PAIRS_AT_ONCE]
+                there = np.unpackbits(had[place[self.pair_term[part]]], axis=1, count=docs)
+                item = self.pair_item[part]
+                first = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+                slices = np.add.reduceat(there * self.pair_weight[part, None], first, axis=0)
+                total[item[first]] += slices * (share - before)
             before = share
         return total
 
@@ -260,22 +268,34 @@ def _score(groups: list[_Group], given: Plan, block: dict, least: np.ndarray, be
         own = np.repeat(np.arange(len(docs)), sizes)
         pick = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[docs][own]
         at = np.minimum(np.searchsorted(group.known, terms[pick]), len(group.known) - 1)
-        hit = group.known[at] == terms[pick]
-        shares = np.zeros((len(docs), len(group.known)), np.int64)
-        shares[own[hit], at[hit]] = _share(times[pick][hit].astype(np.int64), m[docs][own[hit]])
+        hit = np.flatnonzero(group.known[at] == terms[pick])
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        own, at = own[hit], at[hit]
+        share = _share(times[pick][hit].astype(np.int64), m[docs][own])
+        begin, end = np.searchsorted(at, np.arange(len(group.known))), np.searchsorted(at, np.arange(len(group.known)), "right")
         for i, item in enumerate(group.items):
-            some = np.flatnonzero(possible[i, docs])
-            if not len(some):
-                continue
-            exact = shares[np.ix_(some, group.columns[i])] @ group.weights[i]
+            columns, some = group.columns[i], possible[i, docs]
+            sizes = end[columns] - begin[columns]
+            spot = np.arange(int(sizes.sum())) + np.repeat(begin[columns] - np.cumsum(sizes) + sizes, sizes)
+            spot_weight = np.repeat(group.weights[i], sizes)
+            kept = some[own[spot]]
+            # whole numbers far below 2 ** 53, so sums of doubles are exact
+            exact = np.bincount(own[spot[kept]], share[spot[kept]] * spot_weight[kept], len(docs)).astype(np.int64)
             good = np.flatnonzero(exact >= max(1, least[item]))
             if len(good):
-                found = [(-int(exact[g]), math.inf if (d := ids[docs[some[g]]]) is None else d, d) for g in good]
+                found = [(-int(exact[g]), math.inf if (d := ids[docs[g]]) is None else d, d) for g in good]
                 best[item] = sorted([*best[item], *found], key=lambda x: x[:2])[:k]
                 if len(best[item]) == k:
                     least[item] = max(least[item], -best[item][-1][0])
 
 
+def _map(rows: DataFrame, run, schema: str) -> DataFrame:
+    """``map_batches`` in smaller batches: blocks of the index are large rows."""
+    out = map_batches(rows, run, schema)
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return out
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """``(item, rank, document, score)``: the ``k`` highest scores above 0 of each item over all documents, equal ones
     by ascending id, in 64-bit whole numbers throughout.
@@ -284,7 +304,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     without id comes last among its equals. Null and empty texts hold no term and count nowhere. Items without id, and
     items that share no term with any document, have no rows. Other columns are ignored.
 
-    A floor under each item's ``k``-th best score, from at most ``SEED_BLOCKS`` blocks, lets tasks exclude documents
+    A floor under each item's ``k``-th best score, from about ``SEED_BLOCKS`` blocks by hash, lets tasks exclude documents
     from their first block on; it is the score of real documents, so it excludes none of the answer.
     """
     spark = docs.sparkSession
@@ -297,12 +317,12 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
             continue
         given = plan(blocks, ids, terms)
         none = np.zeros(len(ids), np.int64)
-        some = kept.where(F.pmod(F.xxhash64("lengths", "ids"), F.lit(-(-sizes // (SEED_BLOCKS // 2)))) == 0).limit(SEED_BLOCKS)
-        seeds = map_batches(some, _search(given, none, k), "item long, doc long, score long")
+        some = kept.where(F.pmod(F.xxhash64("lengths", "ids"), F.lit(-(-sizes // SEED_BLOCKS))) == 0)
+        seeds = _map(some, _search(given, none, k), "item long, doc long, score long")
         low = _best(seeds, k).where(F.col("rank") == k).toArrow()
         floor = none.copy()
         floor[np.searchsorted(ids, low["item"].to_numpy())] = low["score"].to_numpy()
-        out = out.unionByName(map_batches(kept, _search(given, floor, k), "item long, doc long, score long"))
+        out = out.unionByName(_map(kept, _search(given, floor, k), "item long, doc long, score long"))
     return _best(out, k).select(F.col("item").alias(item_col), F.col("rank").alias("rank"), F.col("doc").alias(id_col), "score")
 
 
