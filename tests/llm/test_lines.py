@@ -25,15 +25,23 @@ def plain(docs, min_docs, depth=3):
     support = defaultdict(int)
     for t, who in kinds.items():
         for at, token in enumerate(t):
-            support[leaf(t), at, token] += len(who)
+            support[leaf(t), at, token] += len(who) * (token != "<*>")
     template, users = {}, defaultdict(set)
     for t in kinds:
-        if len(in_leaf[leaf(t)]) < min_docs:
+        texts, n = len(in_leaf[leaf(t)]), len(t)
+        if texts < min_docs:
             continue
-        fixed = tuple(x if support[leaf(t), at, x] >= min_docs else None for at, x in enumerate(t))
-        n = sum(x is not None for x in fixed)
-        if n >= len(t) * lines.CONSTANT_SHARE and n - min(len(t), depth) >= max(len(t) - depth, 0) * lines.FREE_SHARE:
-            template[t] = (leaf(t), fixed)
+        steps = defaultdict(set)
+        for at, token in enumerate(t):
+            if (s := support[leaf(t), at, token]) >= min_docs:
+                steps[((texts - 1) // (lines.LEAF_PARTS * s)).bit_length()].add((at, token))
+        fixed = set()
+        solid = lambda: len(fixed) >= n * lines.CONSTANT_SHARE and len(fixed) - min(n, depth) >= max(n - depth, 0) * lines.FREE_SHARE
+        for step in sorted(steps):
+            if not solid():
+                fixed |= steps[step]
+        if solid():
+            template[t] = (leaf(t), frozenset(fixed))
             users[template[t]] |= kinds[t]
     first, gone = {}, defaultdict(set)
     for i, no, t in sorted(seen):
@@ -59,16 +67,35 @@ def corpus():
     return [*docs, (100, None), (101, ""), (102, "All rights reserved."), (103, "\n\n")]
 
 
-def test_against_the_plain_tree(frame):
+@pytest.mark.parametrize("min_docs", [2, 5])
+def test_against_the_plain_tree(frame, min_docs):
     docs = corpus()
     rows = frame("doc_id long, text string, lines string, _id long, _drop long", *((i, t, "", 1, 1) for i, t in docs))
-    got = {r.doc_id: r for r in lines.drop_recurring(rows, min_docs=5).collect()}
-    want = plain(docs, 5)
+    got = {r.doc_id: r for r in lines.drop_recurring(rows, min_docs=min_docs).collect()}
+    want = plain(docs, min_docs)
     assert {i: r.text for i, r in got.items()} == want
     assert sum(r.lines_dropped for r in got.values()) > 50 and got[102].text == ""
     assert sum("was started by" in (t or "") for t in want.values()) < 9 and sum(bool(re.search(r"All\s+rights", t or "")) for t in want.values()) == 1
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_lines_with_numbers(frame, seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["red", "blue", "total", "for", "the", "of", "page", "x1", "2019", "7.5", "-", "a9"])
+    shapes = [[word() for _ in range(rng.randint(1, 14))] for _ in range(12)]
+    text = lambda: "\n".join(" ".join(w if rng.random() < 0.9 else word() for w in rng.choice(shapes)) for _ in range(rng.randint(1, 9)))
+    docs = list(enumerate({text() for _ in range(60)}))
+    got = lines.drop_recurring(frame("doc_id long, text string", *docs)).collect()
+    assert {r.doc_id: r.text for r in got} == plain(docs, 2)
+
+
+def test_tables_of_numbers_stay(frame):
+    rng = random.Random(1)
+    table = lambda: "\n".join(" ".join(f"{rng.random():.3f}" for _ in range(3)) for _ in range(20)) + "\nmean of all rows"
+    got = lines.drop_recurring(frame("doc_id long, text string", (1, table()), (2, table()))).orderBy("doc_id").collect()
+    assert [r.lines_dropped for r in got] == [0, 1]
+
+
 def test_rows_without_id_repeats_and_clashes(frame):
     same = [(i, f"own line {chr(97 + i)} text\nShared boilerplate line here") for i in range(6)]
     rows = frame("doc_id long, text string, lines_dropped string", *((i, t, "") for i, t in same), (3, same[3][1], ""), (None, "Shared boilerplate line here\nno id", ""))

@@ -1,7 +1,7 @@
 """Line deduplication by a log-template tree.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens. Tokens with a digit are
-variable fields and count as ``<*>`` from the start. In a leaf, a token that a tenth of the leaf's texts have at a
+variable fields, ``<*>`` from the start, and never constants: lines of numbers have no template. In a leaf, a token that a tenth of the leaf's texts have at a
 place is a constant of that place; other tokens are variable and generalised. What is left is the line's template. A
 template whose share of constants is too small is none: for such lines, which belong to a smaller group in the leaf,
 the share is halved until there is a template, or no token less common that is in ``MIN_DOCS`` texts at all. As shares
@@ -53,12 +53,14 @@ def _in_documents(rows: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:
-    """``(_id, _sig, _no, _template)`` of the lines whose template at least ``min_docs`` different texts have."""
-    leaves = _in_documents(_lines(docs, id_col, text_col, depth).select("_leaf", "_sig"), ["_leaf"], min_docs)
-    rows = cut(_lines(docs, id_col, text_col, depth).join(leaves, "_leaf"), "lines")
-    once = rows.groupBy("_leaf", "_line", "_sig").agg(*(F.min(c).alias(c) for c in ("_masked", "_n", "_texts")))
-    known = cut(once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs"), *(F.min(c).alias(c) for c in ("_masked", "_n", "_texts"))), "line-kinds")
-    tokens = known.select("_leaf", "_line", "_n", "_docs", "_texts", F.posexplode(F.split("_masked", " ")).alias("_at", "_token"))
+    """``(_id, _sig, _no, _template, _first)`` of the lines whose template at least ``min_docs`` different texts have;
+    ``_first`` is the id and number of the template's first line."""
+    rows = cut(_lines(docs, id_col, text_col, depth), "lines")
+    leaves = _in_documents(rows.select("_leaf", "_sig"), ["_leaf"], min_docs)
+    once = rows.groupBy("_leaf", "_line", "_sig").agg(*(F.min(c).alias(c) for c in ("_masked", "_n")))
+    kinds = once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs"), *(F.min(c).alias(c) for c in ("_masked", "_n")))
+    known = cut(kinds.join(leaves, "_leaf"), "line-kinds")
+    tokens = known.select("_leaf", "_line", "_n", "_docs", "_texts", F.posexplode(F.split("_masked", " ")).alias("_at", "_token")).where(F.col("_token") != WILD)
     tokens = tokens.withColumn("_token", F.xxhash64("_at", "_token"))
     support = tokens.groupBy("_leaf", "_token").agg(F.sum("_docs").alias("_support"), F.min("_texts").alias("_texts")).where(F.col("_support") >= min_docs)
     # how often the share of a tenth is halved until the token has it
@@ -82,7 +84,9 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     widest = F.aggregate("_steps", none, lambda a, x: F.when(solid(a["_fixed"]), a).otherwise(state(a["_fixed"] + x["_fixed"], a["_set"].bitwiseXOR(x["_set"]))))
     templates = steps.withColumn("_made", widest).where(solid(F.col("_made._fixed"))).select("_leaf", "_line", F.xxhash64("_leaf", "_n", "_made._set").alias("_template"))
     named = cut(rows.select("_id", "_sig", "_no", "_leaf", "_line").join(templates, ["_leaf", "_line"]).drop("_leaf", "_line"), "line-templates")
-    return named.join(_in_documents(named, ["_template"], min_docs), "_template", "left_semi")
+    first = named.groupBy("_template", "_sig").agg(F.min(F.struct("_id", "_no")).alias("_first"))
+    shared = first.groupBy("_template").agg(F.count(F.lit(1)).alias("_texts"), F.min("_first").alias("_first"))
+    return named.join(shared.where(F.col("_texts") >= min_docs).drop("_texts"), "_template")
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:
@@ -94,8 +98,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text, as no other row can name their lines. Repeated rows are treated alike.
     """
     rows = recurring_lines(docs, id_col, text_col, min_docs, depth)
-    first = rows.groupBy("_template").agg(F.min(F.struct("_id", "_no")).alias("_first"))
-    gone = rows.join(first, "_template").where(F.struct("_id", "_no") != F.col("_first"))
+    gone = rows.where(F.struct("_id", "_no") != F.col("_first"))
     drops = gone.where(F.col("_id").isNotNull()).groupBy(F.col("_id").alias("__id"), F.col("_sig").alias("__sig")).agg(F.collect_set("_no").alias("__drop"))
     given = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
