@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import assembly, cohort, ingest, models, refine, tree, usage
+from oracle import assembly, cohort, ingest, models, refine, state, tree, usage
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -83,4 +83,13 @@ ORACLE: dict[str, str] = {
     "document_terms": models.document_terms(),
     "topic_facts": models.topic_facts(),
     "recommender_facts": models.recommender_facts(),
+    "bucket_upsert": state.bucket_upsert(),
+    "users_from_states": state.users_from_states(),
+    "contacts_from_states": state.contacts_from_states(),
+    "compacted_state": state.compacted_state(),
+    "reload_after_crash": state.reload_after_crash(),
+    "upline_closure": state.upline_closure(),
+    "nested_sets": state.nested_sets(),
+    "elapsed_time_pairs": state.elapsed_time_pairs(),
+    "logins_before_first_order": state.logins_before_first_order(),
 }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.nesting import nest_children
+from tidemark.plans import lineage
 from tidemark.session import cut, spread
 
 
@@ -23,6 +24,7 @@ class Star:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
         self._customers: int | None = None
+        self._upline: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         """A given table; its schema is read from the files once."""
@@ -144,12 +146,11 @@ class Star:
         )
 
     def upline(self) -> DataFrame:
-        """Closure of the sponsor tree: every member with each of its uplines."""
-        return self.table("customer").filter("c_custkey > 0").selectExpr(
-            "c_custkey AS tree_user_id",
-            "explode(transform(sequence(1, length(CAST(c_custkey AS STRING))),"
-            " d -> CAST(c_custkey div CAST(pow(10, d) AS BIGINT) AS BIGINT))) AS upline_id",
-        )
+        """Closure of the sponsor tree, from its edges: every member with each of its uplines."""
+        if self._upline is None:
+            edges = self.table("customer").selectExpr("c_custkey AS tree_user_id", "CASE WHEN c_custkey > 0 THEN c_custkey div 10 END AS sponsor_id")
+            self._upline = lineage.upline(edges)
+        return self._upline
 
     def documents_by_quality(self) -> DataFrame:
         """Texts in the two groups (quality 1 / 0) of the topic models."""

@@ -59,15 +59,31 @@ def _(s: Star) -> DataFrame:
     return versions.changed_ids([(s.lake_orders(), "id"), (s.lake_order_items(), "order_id")], "order_id", FIRST, LAST)
 
 
-@query("staging_users")
-def _(s: Star) -> DataFrame:
-    return refine.staging_users(lake_tables(s), tenant_table(s), RULES, FIRST, LAST).select(
+def user_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "client_partition_id", "client_wrench_id", "client", "tree_user_id", "user_id", "sponsor_id", "zip", "modified", "client_type",
         "client_status", "client_paid_rank", "client_paid_rank_level", "client_lifetime_rank", "client_lifetime_rank_level",
         "event_id", "type", "status",
     )
 
 
+def contact_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "client_partition_id", "client", "id", "last_name", "event_id", "owner_tree_user_id", "owner_user_id", "tree_user_id", "user_id",
+        F.size("emails").cast("long").alias("emails"),
+        F.expr("array_join(transform(emails, e -> concat(e.email, ':', e.preferred, ':', e.undeliverable_count)), ',')").alias("email_list"),
+        F.size("phone_numbers").cast("long").alias("phones"),
+        F.expr("array_join(transform(phone_numbers, p -> p.phone_number), ',')").alias("phone_list"),
+        F.col("categories")[0]["category"].alias("category"),
+        F.to_date(F.col("categories")[0]["created_at"]).alias("linked"),
+    )
+
+
+@query("staging_users")
+def _(s: Star) -> DataFrame:
+    return user_rows(refine.staging_users(lake_tables(s), tenant_table(s), RULES, FIRST, LAST))
+
+
 @query("staging_orders_nested")
 def _(s: Star) -> DataFrame:
     rows = refine.staging_orders(lake_tables(s), tenant_table(s), RULES, FIRST, LAST)
@@ -82,16 +98,7 @@ def _(s: Star) -> DataFrame:
 
 @query("staging_contacts")
 def _(s: Star) -> DataFrame:
-    rows = refine.staging_contacts(lake_tables(s), tenant_table(s), FIRST, LAST)
-    return rows.select(
-        "client_partition_id", "client", "id", "last_name", "event_id", "owner_tree_user_id", "owner_user_id", "tree_user_id", "user_id",
-        F.size("emails").cast("long").alias("emails"),
-        F.expr("array_join(transform(emails, e -> concat(e.email, ':', e.preferred, ':', e.undeliverable_count)), ',')").alias("email_list"),
-        F.size("phone_numbers").cast("long").alias("phones"),
-        F.expr("array_join(transform(phone_numbers, p -> p.phone_number), ',')").alias("phone_list"),
-        F.col("categories")[0]["category"].alias("category"),
-        F.to_date(F.col("categories")[0]["created_at"]).alias("linked"),
-    )
+    return contact_rows(refine.staging_contacts(lake_tables(s), tenant_table(s), FIRST, LAST))
 
 
 @query("pii_users")

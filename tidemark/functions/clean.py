@@ -143,6 +143,7 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> Da
 
 
 LINE, REASON = "_line", "_reason"
+SEALED = "_sealed"
 
 
 def checked(lines: DataFrame, record: T.StructType, target: T.StructType, column: str = "value") -> DataFrame:
@@ -150,20 +151,25 @@ def checked(lines: DataFrame, record: T.StructType, target: T.StructType, column
 
     Bad is a line that is no record, one with a value that is not of its column's
     type (a zero date is a missing date, not a bad one), and one without a column
-    the target requires. ``record`` is the record's schema as text fields.
+    the target requires. ``record`` is the record's schema as text fields. Where the
+    lines carry ``SEALED``, the text before it was decrypted, those that no key has
+    opened are bad and kept as they came.
     """
-    parsed = parse_json(lines.select(column, F.col(column).alias(LINE)), record, column)
+    sealed = F.col(SEALED) if SEALED in lines.columns else F.lit(None).cast("string")
+    kept = F.coalesce(F.col(column), sealed)
+    parsed = parse_json(lines.select(column, kept.alias(LINE), (F.col(column).isNull() & sealed.isNotNull()).alias("_closed")), record, column)
     texts = [f.name for f in record.fields if isinstance(f.dataType, T.StringType)]
     dated = parsed.withColumns({c: F.when(~F.col(c).contains(ZERO_DATE), F.col(c)) for c in texts})
-    carried = T.StructType([*target.fields, T.StructField(LINE, T.StringType()), T.StructField("_corrupt", T.StringType())])
+    carried = T.StructType([*target.fields, T.StructField(LINE, T.StringType()), T.StructField("_corrupt", T.StringType()), T.StructField("_closed", T.BooleanType())])
     rows = coerce(dated, carried, rejects="_failed")
     lacking = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in target.fields if not f.nullable]
     broken = F.col("_corrupt").isNotNull() | (F.trim(LINE) == "")
-    typed = F.when(~broken & (F.size("_failed") > 0), F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
+    closed = F.col("_closed")
+    typed = F.when(~broken & ~closed & (F.size("_failed") > 0), F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
     without = F.array_join(F.array_compact(F.array(*lacking)), ",") if lacking else F.lit("")
-    missing = F.when(~broken & (without != ""), F.concat(F.lit("without "), without))
-    reason = F.concat_ws("; ", F.when(broken, "not a record"), typed, missing)
-    return rows.withColumn(REASON, F.nullif(reason, F.lit(""))).drop("_corrupt", "_failed")
+    missing = F.when(~broken & ~closed & (without != ""), F.concat(F.lit("without "), without))
+    reason = F.concat_ws("; ", F.when(closed, "no key opens it").when(broken, "not a record"), typed, missing)
+    return rows.withColumn(REASON, F.nullif(reason, F.lit(""))).drop("_corrupt", "_failed", "_closed")
 
 
 def accepted(rows: DataFrame, strict: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,21 +16,28 @@ from tidemark.session import cut
 from tidemark.sinks import export as out
 from tidemark.sinks import tables as sink
 from tidemark.sources import files
+from tidemark.sources.ledger import FileLedger
 from tidemark.sources.tables import filtered, jdbc_read
 
 
 def load_changes(
-    spark: SparkSession, folder: str, prefix: str, keys: Sequence[str], record: T.StructType, target: T.StructType, path: str, rejects: str | None = None
+    spark: SparkSession, folder: str, prefix: str, keys: Sequence[str], record: T.StructType, target: T.StructType, path: str, rejects: str | None = None,
+    ledger: FileLedger | None = None,
 ) -> bool:
     """Encrypted change files to a lake table; False where no file is there.
 
-    Bad lines are appended to the table ``rejects`` with their reason. Without
-    one, a bad line stops the load before anything is appended.
+    Bad lines, those no key opens among them, are appended to the table ``rejects``
+    with their reason. Without one, a bad line stops the load before anything is
+    appended. With a ``ledger`` only files that no load has taken are read, and
+    rows and rejects go to the load's own folders: a load that died is repeated
+    over the same files and doubles nothing.
     """
+    if ledger:
+        return _load_once(ledger, folder, prefix, "", lambda paths: _checked_changes(spark, paths, keys, record, target, bool(rejects)), target, path, rejects)
     if not files.has_file(spark, folder, prefix):
         return False
-    lines = files.decrypt_lines(files.read_lines(spark, folder, f"{prefix}*"), keys)
-    rows = checked(lines.select("value"), record, sch.without(target, "ingested_at"))
+    lines = files.decrypt_lines(files.read_lines(spark, folder, f"{prefix}*"), keys, "null" if rejects else "raise")
+    rows = checked(lines, record, sch.without(target, "ingested_at"))
     if rejects:
         rows = cut(rows, "checked")
         rejected(rows).write.mode("append").parquet(rejects)
@@ -38,6 +45,27 @@ def load_changes(
     return True
 
 
+def _checked_changes(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], record: T.StructType, target: T.StructType, lenient: bool) -> DataFrame:
+    lines = files.decrypt_lines(files.read_lines(spark, paths), keys, "null" if lenient else "raise")
+    return checked(lines, record, sch.without(target, "ingested_at"))
+
+
+def _load_once(
+    ledger: FileLedger, folder: str, prefix: str, suffix: str, rows_of: Callable[[list[str]], DataFrame], target: T.StructType, path: str, rejects: str | None
+) -> bool:
+    """Take the files the ledger hands out, write good and bad rows to the load's folders, then name the load as done."""
+    load = ledger.begin(folder, prefix, suffix)
+    if load is None:
+        return False
+    rows = rows_of(load.paths)
+    if rejects:
+        rows = cut(rows, "checked")
+        rejected(rows).write.mode("overwrite").parquet(load.folder(rejects))
+    sink.write_checked(stamp(accepted(rows, strict=not rejects)), load.folder(path), target, mode="overwrite")
+    ledger.commit(load)
+    return True
+
+
 def load_routed(
     spark: SparkSession, folder: str, stream: str, keys: Sequence[str], records: Mapping[str, T.StructType], targets: Mapping[str, T.StructType],
     lake: str, rejects: str | None = None,
@@ -47,22 +75,35 @@ def load_routed(
     return sorted(names)
 
 
-def load_predictions(spark: SparkSession, folder: str, path: str, extension: str = ".csv", rejects: str | None = None) -> bool:
+def _checked_predictions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    schema = files.PREDICTION_SCHEMA
+    rows = files.read_delimited(spark, paths, schema, schema.fields[0].name)
+    kept = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
+    typed = coerce(rows.withColumn(LINE, F.to_json(F.struct(*rows.columns))), kept, rejects="_failed")
+    bad = F.when(F.size("_failed") > 0, F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
+    return typed.withColumn(REASON, bad).drop("_failed")
+
+
+def load_predictions(
+    spark: SparkSession, folder: str, path: str, extension: str = ".csv", rejects: str | None = None, ledger: FileLedger | None = None
+) -> bool:
     """Partner CSV files to the lake's prediction table.
 
     Values that are not of their type become NULL; with ``rejects`` such rows go
-    to that table instead, as JSON with the columns named.
+    to that table instead, as JSON with the columns named. With a ``ledger``, as
+    ``load_changes``; it needs ``rejects``.
     """
+    schema = files.PREDICTION_SCHEMA
+    full = sch.with_required(schema, T.StructField("ingested_at", T.TimestampType()))
+    if ledger:
+        if not rejects:
+            raise ValueError("a load by ledger needs a table for rejects")
+        return _load_once(ledger, folder, "", extension, lambda paths: _checked_predictions(spark, paths), full, path, rejects)
     if not files.has_file(spark, folder):
         return False
-    schema = files.PREDICTION_SCHEMA
     rows = files.read_delimited(spark, f"{folder}/*{extension}", schema, schema.fields[0].name)
-    full = sch.with_required(schema, T.StructField("ingested_at", T.TimestampType()))
     if rejects:
-        kept = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
-        typed = cut(coerce(rows.withColumn(LINE, F.to_json(F.struct(*rows.columns))), kept, rejects="_failed"), "checked")
-        bad = F.when(F.size("_failed") > 0, F.concat(F.lit("not of its type: "), F.array_join("_failed", ",")))
-        typed = typed.withColumn(REASON, bad).drop("_failed")
+        typed = cut(_checked_predictions(spark, f"{folder}/*{extension}"), "checked")
         rejected(typed).write.mode("append").parquet(rejects)
         sink.append(stamp(accepted(typed)), path, full)
     else:

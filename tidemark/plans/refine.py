@@ -15,23 +15,34 @@ from tidemark.config import Rules
 from tidemark.functions.rules import flag, gender, street
 from tidemark.operators.joins import lookup, lookup_latest, with_tenant
 from tidemark.operators.nesting import CHILD_LIMIT, Child, nest_children, nest_many
-from tidemark.operators.versions import changed_ids, current_state, earliest_event, history_of, in_window, latest_by
+from tidemark.operators.versions import changed_ids, earliest_event, history_of, in_window, latest_by
 from tidemark.plans.rules import order_rules, user_rules
 from tidemark.session import cut
 
 Lake = Mapping[str, DataFrame]
 
 
-def _referenced(lake_table: DataFrame, rows: DataFrame, ref: str) -> DataFrame:
+def _versions(lake: Lake, table: str, ids: DataFrame, own: str, key: str) -> DataFrame:
+    """Versions of the entities in ``ids``: the kept latest ones of a lake with states (``plans.states``), else the full history."""
+    known = lake.known(table, own, ids, key) if hasattr(lake, "known") else None
+    return history_of(lake[table], ids, own, key) if known is None else known
+
+
+def _state(lake: Lake, table: str, ids: DataFrame, own: str, key: str) -> DataFrame:
+    """Latest version of the changed entities."""
+    return latest_by(_versions(lake, table, ids, own, key), ["client", own])
+
+
+def _referenced(lake: Lake, table: str, columns: list[str], rows: DataFrame, ref: str) -> DataFrame:
     """Latest version of only those entities that ``rows`` refer to."""
-    return latest_by(history_of(lake_table, rows, "id", ref), ["client", "id"])
+    return latest_by(_versions(lake, table, rows, "id", ref).select("client", "id", *columns, "event_id", "ingested_at"), ["client", "id"])
 
 
 def refined_users(lake: Lake, tenants: DataFrame, first, last) -> DataFrame:
     """Latest state of users changed in ``[first, last]``, before tenant rules."""
     ids = cut(changed_ids([(lake["tree_users"], "id"), (lake["users"], "tree_user_id")], "tree_user_id", first, last), "ids")
-    state = current_state(lake["tree_users"], ids, "id", "tree_user_id")
-    logins = current_state(lake["users"], ids, "tree_user_id", "tree_user_id")
+    state = _state(lake, "tree_users", ids, "id", "tree_user_id")
+    logins = _state(lake, "users", ids, "tree_user_id", "tree_user_id")
     complete = state.na.drop(subset=["sponsor_id", "user_type_id", "rank_id"])
     rows = lookup(with_tenant(complete, tenants), logins, {"client": "client", "id": "tree_user_id"}, {"user_id": "id"})
     rows = lookup_latest(rows, lake["tree_user_types"], "user_type_id", {"client_type": "description"})
@@ -77,15 +88,14 @@ def refined_orders(lake: Lake, tenants: DataFrame, first, last, type_needs_user:
     the tenant, as the lookup runs through the buyer's tenant.
     """
     ids = cut(changed_ids([(lake["tree_orders"], "id"), (lake["tree_order_items"], "order_id")], "order_id", first, last), "ids")
-    orders = current_state(lake["tree_orders"], ids, "id", "order_id")
-    items = cut(latest_by(history_of(lake["tree_order_items"], ids, "order_id", "order_id"), ["client", "id"]), "items")
+    orders = _state(lake, "tree_orders", ids, "id", "order_id")
+    items = cut(latest_by(_versions(lake, "tree_order_items", ids, "order_id", "order_id"), ["client", "id"]), "items")
     fields = [*PRODUCT_FIELDS, *(F.col(c).alias(f"item_{c}") for c in ITEM_SHIPPING)]
     products = nest_children(items, ["client", "order_id"], fields, "products", child_limit, ["id"])
     rows = lookup(
         with_tenant(orders, tenants), products, {"client": "client", "id": "order_id"}, {"products": "products", "part": "part", "parts": "parts"}
     ).withColumns({"part": F.coalesce("part", F.lit(0)), "parts": F.coalesce("parts", F.lit(1))})
-    users = lake["tree_users"].select("client", "id", "sponsor_id", "user_type_id", "event_id", "ingested_at")
-    buyers = _referenced(users, orders, "tree_user_id")
+    buyers = _referenced(lake, "tree_users", ["sponsor_id", "user_type_id"], orders, "tree_user_id")
     rows = lookup(
         rows.withColumnRenamed("tree_user_id", "buyer"), buyers, {"client": "client", "buyer": "id"},
         {"tree_user_id": "id", "sponsor_id": "sponsor_id", "user_type_id": "user_type_id"},
@@ -136,14 +146,14 @@ def staging_contacts(
         "contact_id", first, last,
     ), "ids")
     key = ["client", "contact_id"]
-    contacts = current_state(lake["pyr_contacts"], ids, "id", "contact_id")
-    emails = lake["pyr_contact_emails"].join(ids, key, "left_semi")
-    phones = lake["pyr_contact_phone_numbers"].join(ids, key, "left_semi")
+    contacts = _state(lake, "pyr_contacts", ids, "id", "contact_id")
+    emails = _versions(lake, "pyr_contact_emails", ids, "contact_id", "contact_id")
+    phones = _versions(lake, "pyr_contact_phone_numbers", ids, "contact_id", "contact_id")
     # the earliest event names a category; links without one do not take part in the ranking
     names = latest_by(lake["pyr_contact_categories"], ["client", "id"], earliest_event()).select(
         "client", F.col("id").alias("contact_category_id"), F.col("category_name").alias("category")
     )
-    links = lake["pyr_contacts_contact_categories"].join(ids, key, "left_semi").join(names, ["client", "contact_category_id"])
+    links = _versions(lake, "pyr_contacts_contact_categories", ids, "contact_id", "contact_id").join(names, ["client", "contact_category_id"])
     children = nest_many(
         {
             "emails": Child(
@@ -163,8 +173,8 @@ def staging_contacts(
     for name, kind in how.items():
         has = F.col(f"n_{name}") > 0
         rows = rows.filter(has) if kind == "inner" else rows.withColumn(name, F.when(has, F.col(name)))
-    members = _referenced(lake["tree_users"].select("client", "id", "sponsor_id", "event_id", "ingested_at"), contacts, "tree_user_id")
-    logins = _referenced(lake["users"].select("client", "id", "tree_user_id", "event_id", "ingested_at"), contacts, "user_id")
+    members = _referenced(lake, "tree_users", ["sponsor_id"], contacts, "tree_user_id")
+    logins = _referenced(lake, "users", ["tree_user_id"], contacts, "user_id")
     rows = lookup(rows.withColumnRenamed("tree_user_id", "own_id"), members, {"client": "client", "own_id": "id"}, {"member": "id", "sponsor": "sponsor_id"})
     rows = lookup(rows.withColumnRenamed("user_id", "login_id"), logins, {"client": "client", "login_id": "id"}, {"login": "id", "login_user": "tree_user_id"})
     is_member = F.col("member").isNotNull()

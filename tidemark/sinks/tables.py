@@ -58,10 +58,15 @@ def append(df: DataFrame, path: str, schema: T.StructType, partition: str | None
     """
     if not exists(df.sparkSession, path):
         raise FileNotFoundError(f"append never creates a table: {path}")
+    write_checked(df, path, schema, partition, cluster)
+
+
+def write_checked(df: DataFrame, path: str, schema: T.StructType, partition: str | None = None, cluster: Sequence[str] = (), mode: str = "append") -> None:
+    """Write the declared columns; a NULL in a column the schema requires stops the write."""
     rows = sch.align(df, schema)
     required = [f.name for f in schema.fields if not f.nullable]
     stop = lambda c: F.raise_error(F.lit(f"required column {c} is NULL"))
-    write(rows.withColumns({c: F.when(F.col(c).isNull(), stop(c)).otherwise(F.col(c)) for c in required}), path, partition, cluster)
+    write(rows.withColumns({c: F.when(F.col(c).isNull(), stop(c)).otherwise(F.col(c)) for c in required}), path, partition, cluster, mode)
 
 
 def reload(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:

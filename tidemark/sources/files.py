@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.clean import SEALED
 from tidemark.functions.codec import decrypt_line
 
 # Number at the end of a file name, by which files are ordered. Fixed value.
@@ -26,6 +27,13 @@ def exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file of whatever store the path names; False where nothing is there."""
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def file_sequence(name: Column, pattern: str = SEQUENCE) -> Column:
     """Numeric suffix of a file name; NULL without one."""
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).try_cast("long")
@@ -69,10 +77,12 @@ def decrypt_lines(lines: DataFrame, keys: Sequence[str], on_failure: str = "rais
     """Replace ``value`` by its plain text.
 
     Lines no key opens raise, or with ``on_failure="null"`` stay as NULL for a
-    reject table.
+    reject table, with the line as it came in ``_sealed``.
     """
     text = decrypt_line(F.col("value"), keys)
     opened = lines.withColumn("_text", text)
+    if on_failure != "raise":
+        opened = opened.withColumn(SEALED, F.col("value"))
     if on_failure == "raise":
         checked = F.when(F.col("_text").isNotNull(), F.col("_text")).otherwise(
             F.raise_error(F.lit("no key decrypts a line"))

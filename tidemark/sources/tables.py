@@ -49,25 +49,52 @@ def range_predicates(key: str, low: int, high: int, parts: int) -> list[str]:
     return [f"({first}) OR {key} IS NULL", *others]
 
 
-def key_range_read(df: DataFrame, key: str, parts: int) -> DataFrame:
+def balanced_predicates(keys: DataFrame, key: str, parts: int) -> list[str]:
+    """Conditions for ranges of about equal counts: bounds are quantiles of the keys, found in one pass over them.
+
+    Ranges hold their upper bound; a key that fills several quantiles alone is one range. Rows without a key belong to
+    the first range. Empty where there is no key.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    found = keys.agg(F.percentile_approx(key, shares, 100 * parts).alias("bounds")).first()["bounds"] if shares else []
+    if found is None:
+        return []
+    bounds = sorted(set(found))
+    if not bounds:
+        return ["TRUE"]
+    between = [f"{key} > {a} AND {key} <= {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{key} <= {bounds[0]} OR {key} IS NULL", *between, f"{key} > {bounds[-1]}"]
+
+
+def key_range_read(df: DataFrame, key: str, parts: int, balanced: bool = False) -> DataFrame:
     """The table read in key ranges, each pushed to the scan; no row is lost.
 
-    Rows without a key are in the first range, as in ``jdbc_read``. Worth its extra scans only where a source is not
-    split by itself; files are.
+    Rows without a key are in the first range, as in ``jdbc_read``. Ranges are of equal width, or with ``balanced`` of
+    equal counts, which keys with gaps need. Worth its extra scans only where a source is not split by itself; files
+    are.
     """
+    if balanced:
+        ranges = balanced_predicates(df.select(key), key, parts)
+        return reduce(DataFrame.unionByName, (df.filter(p) for p in ranges)) if ranges else df
     span = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
     if span["high"] is None:
         return df
     return reduce(DataFrame.unionByName, (df.filter(p) for p in range_predicates(key, span["low"], span["high"], parts)))
 
 
-def jdbc_read(spark: SparkSession, url: str, table: str, key: str, parts: int, fetch_size: int = 10_000, **options: str) -> DataFrame:
-    """A relational table read by several tasks, each with a key range and a server-side cursor."""
+def jdbc_read(spark: SparkSession, url: str, table: str, key: str, parts: int, fetch_size: int = 10_000, balanced: bool = False, **options: str) -> DataFrame:
+    """A relational table read by several tasks, each with a key range and a server-side cursor.
+
+    With ``balanced`` the keys alone are read first, and ranges of equal counts are made from them.
+    """
     options = {"fetchsize": str(fetch_size), **options}
     span = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}", **options).load().first()
     if span is None or span["high"] is None:
         return spark.read.format("jdbc").options(url=url, query=f"SELECT * FROM {table} WHERE 1 = 0", **options).load()
-    return spark.read.jdbc(url, table, predicates=range_predicates(key, int(span["low"]), int(span["high"]), parts), properties=options)
+    ranges = range_predicates(key, int(span["low"]), int(span["high"]), parts)
+    if balanced:
+        ranges = balanced_predicates(spark.read.jdbc(url, f"(SELECT {key} FROM {table}) k", predicates=ranges, properties=options), key, parts)
+    return spark.read.jdbc(url, table, predicates=ranges, properties=options)
 
 
 def jdbc_to_json(spark: SparkSession, url: str, table: str, path: str, key: str, parts: int, **options: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark import schema as sch
 from tidemark.functions.clean import accepted, checked, coerce, rejected, stamp
 from tidemark.operators.versions import latest_by, newest_first
+from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources.files import decrypt_lines, with_file_order
 
 
@@ -42,7 +43,7 @@ def change_records(lines: DataFrame, keys: Sequence[str], record: T.StructType,
 
 def checked_records(lines: DataFrame, keys: Sequence[str], record: T.StructType, target: T.StructType) -> DataFrame:
     """Encrypted lines to rows of the lake table that carry their line and, if bad, the reason."""
-    return checked(decrypt_lines(lines, keys).select("value"), record, sch.without(target, "ingested_at"))
+    return checked(decrypt_lines(lines, keys, "null"), record, sch.without(target, "ingested_at"))
 
 
 def run_with_rejects(rows: DataFrame, target: str, rejects: str, checkpoint: str) -> None:
@@ -93,6 +94,25 @@ def run_upserts(latest: DataFrame, target: str, checkpoint: str) -> None:
     _start(latest, save, checkpoint)
 
 
+def run_keyed(changes: DataFrame, table: KeyedTable, checkpoint: str, fold_after: int = 16) -> None:
+    """Take each batch of changes into a keyed table; after ``fold_after`` batches the open ones are folded in.
+
+    The batch's number is its token, so a batch that Spark repeats after a crash
+    is taken once. No state is held by the stream, and the folders of the table
+    stay bounded.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        if len(table.append(batch, number).changes) >= fold_after:
+            table.fold()
+            table.vacuum()
+
+    (
+        changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
+    )
+
+
 def _start(rows: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     (
         rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
