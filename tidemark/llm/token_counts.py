@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.grams import map_batches
+from tidemark.session import cut
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split pattern that belongs to the vocabulary (fixed value).
@@ -91,5 +92,6 @@ def truncated_total(curve: DataFrame, limit: int) -> DataFrame:
 
 
 def token_curve(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """Every distinct encoded length of the documents with its suffix sums. Repeated rows count as often as they occur."""
-    return suffix_sums(histogram(encoded_lengths(docs, text_col, (), vocabulary)))
+    """Every distinct encoded length of the documents with its suffix sums. Repeated rows count as often as they occur.
+    Texts are encoded once: the histogram, a row for each length, is written before its sums are taken."""
+    return suffix_sums(cut(histogram(encoded_lengths(docs, text_col, (), vocabulary)), "token-counts"))
