@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import cut
+
 PREFIX_CHARS = 256
+BROADCAST_PAIRS = 1 << 20
 
 
 def _content(text_col: str) -> Column:
@@ -23,16 +26,19 @@ def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """``(text_sha256, keep_id, group_size)``: a row for each text that several rows share.
 
-    Level one counts byte lengths; level two, among rows of a repeated length, counts pairs of length and hash of
-    the first ``prefix_chars`` characters; level three reads full contents, and hashes them by SHA-256, only of rows
-    whose pair is repeated. Rows pass the levels by semi joins, whose partitions Spark splits where a key is hot.
+    Levels one and two group rows by byte length and, within a length, by the hash of the first ``prefix_chars``
+    characters, in one count whose partial sums make a common length or prefix one row a task. Level three hashes
+    full contents by SHA-256 of rows whose pair is repeated and no others. While the repeated pairs, which are counted,
+    are at most ``BROADCAST_PAIRS``, they go to the tasks and only digests are shuffled; beyond it a join of both
+    sides by pair, whose partitions Spark splits where a pair is hot, takes the texts with it.
 
     Texts are compared as they are, a null text as an empty one. Of equal texts the largest id stays. A repeated
     row is a member like any other. Ids are ignored in choosing ``keep_id`` where they are null.
     """
     coarse = docs.select(*_coarse(_content(text_col), prefix_chars))
-    narrowed = coarse.join(_repeated(coarse, "_length"), "_length", "left_semi")
-    pairs = _repeated(narrowed, "_length", "_prefix")
+    pairs = cut(_repeated(coarse, "_length", "_prefix"), "repeated-pairs")
+    if pairs.count() <= BROADCAST_PAIRS:
+        pairs = F.broadcast(pairs)
     full = docs.select(F.col(id_col).alias("_id"), _content(text_col).alias("_text"), *_coarse(_content(text_col), prefix_chars))
     hashed = full.join(pairs, ["_length", "_prefix"], "left_semi").select("_id", F.sha2("_text", 256).alias("text_sha256"))
     return (
