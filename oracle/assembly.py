@@ -57,6 +57,21 @@ LEFT JOIN events e ON e.event_type = 'view' AND (e.user_id * 2) % (SELECT count(
 LEFT JOIN customer k ON k.c_custkey = c.c_custkey AND k.c_custkey % 2 = 0"""
 
 
+VISITS = f"""si AS (SELECT s_suppkey AS site_id, c.c_custkey AS user_id, c.c_custkey * 2 AS tree_user_id,
+    CASE WHEN s_suppkey % 5 > 0 THEN {BASE} + to_days(CAST(s_suppkey % 400 AS INTEGER)) END AS created_at
+  FROM supplier JOIN customer c ON c.c_custkey = TRY_CAST(CASE WHEN s_suppkey % 11 > 0 THEN CAST(s_suppkey AS VARCHAR) ELSE 'none' END AS BIGINT)),
+vi AS (SELECT (user_id * 2) % (SELECT count(*) FROM supplier) AS site_id, count(*) AS visitors, CAST(sum(CAST(trunc(value) AS BIGINT)) AS BIGINT) AS visits
+  FROM events WHERE event_type = 'view' GROUP BY 1)"""
+
+
+def staging_sites() -> str:
+    return with_views(["clients"], f"""WITH {VISITS}
+SELECT cl.client, cl.partition_id AS client_partition_id, si.site_id, user_id, tree_user_id, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+  coalesce(visitors, 0) AS visitors, CASE WHEN visitors IS NULL AND user_id % 2 = 1 THEN NULL ELSE coalesce(visits, 0) END AS visits,
+  CASE WHEN user_id % 2 = 0 THEN k.c_name WHEN visitors IS NOT NULL THEN '' END AS codes
+FROM si LEFT JOIN vi USING (site_id) LEFT JOIN customer k ON k.c_custkey = user_id JOIN clients cl ON cl.client = '{T}'""")
+
+
 def tasks() -> str:
     return """
 SELECT doc_id AS id, md5(text) AS task_title, lang AS description, '1996-01-01 00:00:00.000000' AS due_date, doc_id * 3 AS user_id, c_custkey + 1 AS tree_user_id,

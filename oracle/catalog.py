@@ -1,6 +1,6 @@
 """Oracle SQL per registered query."""
 
-from oracle import assembly, cohort, ingest, models, refine, state, tree, usage
+from oracle import assembly, cohort, ingest, models, partner, refine, state, tree, usage
 
 ORACLE: dict[str, str] = {
     "days_to_first_sale": cohort.days_to_first_sale(),
@@ -42,6 +42,7 @@ ORACLE: dict[str, str] = {
     "staging_links": assembly.staging_links(),
     "site_visitors": assembly.site_visitors(),
     "tasks": assembly.tasks(),
+    "staging_sites": assembly.staging_sites(),
     "backfill_users": assembly.backfill_users(),
     "member_types_update": assembly.member_types_update(),
     "backfill_orders": assembly.backfill_orders(),
@@ -74,13 +75,14 @@ ORACLE: dict[str, str] = {
     "window_retry": ingest.window_retry(),
     "tapped_rows": ingest.tapped_rows(),
     "archived_files": ingest.archived_files(),
-    "export_nine_tables": ingest.export_nine_tables(),
+    "export_nine_tables": partner.export_nine_tables(),
     "tokens": models.tokens(),
     "lemmas": models.lemmas(),
     "phrases": models.phrases(),
     "phrase_tokens": models.phrase_tokens(),
     "trigrams": models.trigrams(),
     "document_terms": models.document_terms(),
+    "term_weights": models.term_weights(),
     "topic_facts": models.topic_facts(),
     "recommender_facts": models.recommender_facts(),
     "bucket_upsert": state.bucket_upsert(),

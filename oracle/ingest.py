@@ -74,13 +74,6 @@ w AS (SELECT 1 AS w, client, event_id, ingested_at FROM lk_orders, b WHERE inges
 SELECT client, count(*) AS n, min(event_id) AS first_event, strftime(max(ingested_at), {F}) AS last FROM w GROUP BY client, w""")
 
 
-def export_nine_tables() -> str:
-    names = ["pii.users", "staging.emails", "staging.flat_site_visitors", "staging.orders", "staging.product_reviews", "staging.sites", "staging.tasks", "staging.users", "staging.contacts"]
-    cases = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
-    return f"""SELECT CASE o_orderkey % 9 {cases} END AS "table", count(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN 1 END) AS n,
-  CAST(sum(CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' THEN o_orderkey END) AS BIGINT) AS ids, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS last FROM orders GROUP BY 1"""
-
-
 def tapped_rows() -> str:
     return 'SELECT count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS keys, min(o_custkey) AS least, count(*) AS written FROM orders'
 

@@ -11,6 +11,7 @@ from tidemark import config, schema
 from tidemark.plans import load
 from tidemark.plans.incremental import START, Marks, Window, run_window, upper_bound
 from tidemark.sinks import export, tables
+from tidemark.sinks.shards import write_shards
 from tidemark.sources import files
 from tidemark.sources import tables as source
 
@@ -209,7 +210,7 @@ def test_window_run_repeats_into_the_same_folder(spark, frame, marks, tmp_path):
 def test_export_moves_the_mark(frame, marks, tmp_path):
     df = frame("ingested_at timestamp_ntz, tree_user_id long, created timestamp_ntz", ("2020-01-01", 1, "2020-01-01"), ("2020-01-02", 2, "2019-01-01"))
     load.export_table(marks, "export", "staging.orders", df, str(tmp_path), created_after="2019-06-01")
-    lines = [json.loads(x) for f in glob.glob(f"{tmp_path}/staging.orders/*.gz") for x in gzip.open(f, "rt")]
+    lines = [json.loads(x) for f in glob.glob(f"{tmp_path}/staging.orders/*/*.gz") for x in gzip.open(f, "rt")]
     assert [r["tree_user_id"] for r in lines] == [1] and marks.get("export", "staging.orders") == "2020-01-02 00:00:00"
 
 
@@ -219,3 +220,55 @@ def test_raw_copy(spark, frame, tmp_path):
     load.load_raw_copy(raw, "north", target, str(tmp_path / "lake"))
     row = spark.read.parquet(str(tmp_path / "lake")).first()
     assert (row["id"], row["born"], row["client"], row["event_id"]) == (1, None, "north", "z/0") and str(row["at"]) == "2020-01-02 03:04:05"
+
+
+def shards(path):
+    return sorted(os.path.basename(f) for f in glob.glob(f"{path}/*"))
+
+
+def test_numbered_shards(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    lines = spark.range(0, 1000, 1, 4).selectExpr("CASE WHEN id = 7 THEN NULL ELSE concat('line ', id) END AS value")
+    write_shards(lines, folder, "t", shard_bytes=1500)
+    names = shards(folder)
+    assert len(names) > 4 and names == [f"t-{i:05d}-of-{len(names):05d}.ndjson.gz" for i in range(len(names))]
+    back = [x.rstrip("\n") for f in names for x in gzip.open(f"{folder}/{f}", "rt")]
+    assert back == ["" if i == 7 else f"line {i}" for i in range(1000)]
+    # fewer shards replace more; an empty export leaves none
+    write_shards(lines.coalesce(1), folder, "t")
+    assert shards(folder) == ["t-00000-of-00001.ndjson.gz"]
+    write_shards(lines.limit(0), folder, "t")
+    assert shards(folder) == []
+
+
+def test_a_failed_export_leaves_the_shards_of_the_last(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    write_shards(spark.sql("SELECT 'kept' AS value"), folder, "t")
+    broken = spark.range(0, 100, 1, 4).selectExpr("CASE WHEN id = 99 THEN raise_error('broken') ELSE 'x' END AS value")
+    with pytest.raises(Exception, match="broken"):
+        write_shards(broken, folder, "t")
+    assert shards(folder) == ["t-00000-of-00001.ndjson.gz"] and gzip.open(f"{folder}/t-00000-of-00001.ndjson.gz", "rt").read() == "kept\n"
+    with pytest.raises(Exception, match="one column"):
+        write_shards(spark.range(3), folder, "t")
+
+
+def test_windows_of_several_tables(frame, marks, tmp_path):
+    ddl = "ingested_at timestamp_ntz, tree_user_id long, created timestamp_ntz"
+    frames = {t: frame(ddl, (f"2020-01-0{i}", i, "2020-01-01")) for i, t in enumerate(("staging.orders", "staging.users"), 1)} | {"staging.tasks": frame(ddl)}
+    windows = load.export_tables(marks, "export", frames, str(tmp_path))
+    assert {t: w.last for t, w in windows.items()} == {"staging.orders": "2020-01-01 00:00:00", "staging.users": "2020-01-02 00:00:00", "staging.tasks": None}
+    assert len(glob.glob(f"{tmp_path}/staging.*/window=*/*.gz")) == 2
+    # the boundary row is exported again, to a folder of its own
+    later = {"staging.orders": frames["staging.orders"].unionByName(frame(ddl, ("2020-02-01", 9, "2020-01-01"))).coalesce(1)}
+    assert load.export_tables(marks, "export", later, str(tmp_path))["staging.orders"].first == "2020-01-01 00:00:00"
+    assert len(glob.glob(f"{tmp_path}/staging.orders/window=*/*.gz")) == 2
+
+
+def test_a_planned_window_of_several_tables_is_taken_up_again(frame, marks):
+    rows = source_rows(frame, "2020-01-01", "2020-01-02")
+    first = marks.planned_windows("j", {"a": rows, "b": rows.limit(0)})
+    more = rows.unionByName(source_rows(frame, "2020-03-01"))
+    again = marks.planned_windows("j", {"a": more, "b": more})
+    assert again["a"] == first["a"] and again["b"].last == "2020-03-01 00:00:00"
+    marks.set_all("j", again)
+    assert marks.get("j", "a") == "2020-01-02 00:00:00" and marks.planned_windows("j", {"a": more})["a"].last == "2020-03-01 00:00:00"

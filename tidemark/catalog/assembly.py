@@ -60,9 +60,13 @@ def _(s: Star) -> DataFrame:
     return rows.select("message_id", "recipient_id", "recipient_type", "opened_count", "recipient_tree_user_id")
 
 
+def emails(s: Star) -> DataFrame:
+    return assembly.staging_emails(_messages(s), _recipients(s), *_people(s), tenant_table(s), TENANT)
+
+
 @query("staging_emails")
 def _(s: Star) -> DataFrame:
-    rows = assembly.staging_emails(_messages(s), _recipients(s), *_people(s), tenant_table(s), TENANT)
+    rows = emails(s)
     return rows.select(
         "client", "client_partition_id", "message_id", "sender_tree_user_id", "subject", "message_created_at",
         F.size("recipients").cast("long").alias("recipients"),
@@ -104,28 +108,53 @@ def _(s: Star) -> DataFrame:
     )
 
 
-@query("site_visitors")
-def _(s: Star) -> DataFrame:
+def _sites(s: Star) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     n = s.table("supplier").count()
-    sites = s.table("supplier").selectExpr("s_suppkey AS id", "CASE WHEN s_suppkey % 11 > 0 THEN CAST(s_suppkey AS STRING) ELSE 'none' END AS user_id")
+    sites = s.table("supplier").selectExpr("s_suppkey AS id", "CASE WHEN s_suppkey % 11 > 0 THEN CAST(s_suppkey AS STRING) ELSE 'none' END AS user_id",
+                                            "CASE WHEN s_suppkey % 5 > 0 THEN timestampadd(DAY, s_suppkey % 400, timestamp_ntz'1995-01-01 00:00:00') END AS created_at")
     visitors = s.table("events").filter("event_type = 'view'").selectExpr(
         f"(user_id * 2) % {n} AS site_id", "event_id AS visitor_id", "ts AS last_visit_date", "CAST(value AS BIGINT) AS visit_count",
         "'127.0.0.1' AS ipaddress", "props AS browser_agent", "ts AS created_at",
     )
     users = s.table("customer").selectExpr("c_custkey AS id", "c_custkey * 2 AS tree_user_id")
     codes = s.table("customer").filter("c_custkey % 2 = 0").selectExpr("c_custkey AS user_id", "c_mktsegment AS third_party_tracking_company", "c_name AS tracking_code")
-    return assembly.site_visitors(sites, visitors, users, codes, TENANT)
+    return sites, visitors, users, codes
 
 
-@query("tasks")
+@query("site_visitors")
+def _(s: Star) -> DataFrame:
+    return assembly.site_visitors(*_sites(s), TENANT)
+
+
+def sites(s: Star) -> DataFrame:
+    return assembly.staging_sites(*_sites(s), tenant_table(s), TENANT)
+
+
+def visits(s: Star) -> DataFrame:
+    return assembly.site_visitors(*_sites(s), TENANT)
+
+
+@query("staging_sites")
 def _(s: Star) -> DataFrame:
+    return sites(s).select(
+        "client", "client_partition_id", "site_id", "user_id", "tree_user_id", "created_at", F.coalesce(F.size("visitors"), F.lit(0)).cast("long").alias("visitors"),
+        F.expr("aggregate(visitors, 0L, (a, v) -> a + v.visit_count)").alias("visits"), F.expr("array_join(analytics_tracking_codes.tracking_code, ',')").alias("codes"),
+    )
+
+
+def task_rows(s: Star) -> DataFrame:
     raw = s.table("documents").selectExpr(
         "doc_id AS id", "text AS task_title", "lang AS description", "timestamp_ntz'1996-01-01 00:00:00' AS due_date",
         "doc_id * 3 AS user_id", "CASE WHEN source = 'src1' THEN 'system' WHEN source = 'src2' THEN NULL ELSE source END AS source",
         "n_chars % 5 AS priority", "timestamp_ntz'1995-06-01 00:00:00' AS created_at", "CAST(NULL AS TIMESTAMP_NTZ) AS completed_at",
     )
     users = s.table("customer").selectExpr("c_custkey AS id", "c_custkey + 1 AS tree_user_id")
-    return assembly.tasks(raw, users).withColumn("task_title", F.md5("task_title"))
+    return assembly.tasks(raw, users)
+
+
+@query("tasks")
+def _(s: Star) -> DataFrame:
+    return task_rows(s).withColumn("task_title", F.md5("task_title"))
 
 
 # ---- back-fill and updates -------------------------------------------------------------
@@ -233,9 +262,8 @@ def _(s: Star) -> DataFrame:
     return assembly.demographics(_latest(s, "tree_users"), s.lake_users(), *dims, AS_OF)
 
 
-@query("product_reviews")
-def _(s: Star) -> DataFrame:
-    reviews = s.table("documents").selectExpr(
+def reviews(s: Star) -> DataFrame:
+    rated = s.table("documents").selectExpr(
         "concat('reviewer ', doc_id) AS name", "lang AS location", "CAST(1 + n_chars % 5 AS INT) AS rating", "source AS title", "text AS review",
         "doc_id % 2 = 0 AS approved", "timestampadd(DAY, doc_id % 700, timestamp_ntz'1996-01-01 00:00:00') AS created_at",
         "timestampadd(DAY, doc_id % 900, timestamp_ntz'1996-01-01 00:00:00') AS updated_at", "doc_id AS user_id", "'127.0.0.1' AS ip_address",
@@ -247,7 +275,12 @@ def _(s: Star) -> DataFrame:
         "CAST(NULL AS TIMESTAMP_NTZ) AS discontinue_on", "replace(p_name, ' ', '-') AS slug", "CAST(p_size % 6 AS DECIMAL(7,5)) AS avg_rating", "p_size AS reviews_count",
     )
     variants = s.table("part").selectExpr("p_partkey AS product_id", "concat(p_brand, '-', p_partkey) AS sku")
-    return assembly.product_reviews(reviews, users, products, variants).withColumn("review", F.md5("review"))
+    return assembly.product_reviews(rated, users, products, variants)
+
+
+@query("product_reviews")
+def _(s: Star) -> DataFrame:
+    return reviews(s).withColumn("review", F.md5("review"))
 
 
 # ---- keyed changes, windows and key ranges -------------------------------------------------

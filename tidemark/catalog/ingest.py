@@ -164,21 +164,6 @@ def _(s: Star) -> DataFrame:
     ).drop("window")
 
 
-@query("export_nine_tables")
-def _(s: Star) -> DataFrame:
-    """Every table of the export list written as NDJSON with its creation filter and read back."""
-    folder = work_dir(s.spark, "nine")
-    base = s.table("orders").selectExpr("o_orderkey AS id", "o_custkey AS tree_user_id", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS moment", "o_orderkey % 9 AS share")
-    marks, found = incremental.Marks(s.spark, f"{folder}/marks"), None
-    for i, (table, created) in enumerate(config.EXPORT_TABLES.items()):
-        rows = base.filter(F.col("share") == i).selectExpr("id", "tree_user_id", f"moment AS {created}", "moment AS ingested_at")
-        window = load.export_table(marks, "export", table, rows, folder, created_after="1995-01-01")
-        back = s.spark.read.schema("id long, tree_user_id long").json(f"{folder}/{table}")
-        one = back.agg(F.count("*").alias("n"), F.sum("id").alias("ids")).withColumns({"table": F.lit(table), "last": F.lit(window.last)})
-        found = one if found is None else found.unionByName(one)
-    return found
-
-
 @query("compress_roundtrip")
 def _(s: Star) -> DataFrame:
     packed = clean.clean_relational(s.documents().select("doc_id", "text"))

@@ -95,6 +95,15 @@ def _(s: Star) -> DataFrame:
     return _topics(s, _grouped(s), tfidf=True)
 
 
+@query("term_weights")
+def _(s: Star) -> DataFrame:
+    """TF-IDF weight of every term in every document, per group, as the topic models take them."""
+    words, bags = _bags(s, _grouped(s))
+    groups = [topics.with_tfidf(bags.filter(F.col("quality") == g)) for g in (1, 0)]
+    rows = topics.weights(groups[0].unionByName(groups[1]), "tfidf", words, ("doc_id", "quality"))
+    return rows.withColumn("weight", F.round("weight", 9))
+
+
 @query("phrase_topics")
 def _(s: Star) -> DataFrame:
     docs = _grouped(s)
@@ -126,7 +135,7 @@ def _(s: Star) -> DataFrame:
 @query("recommender_facts")
 def _(s: Star) -> DataFrame:
     """Every rated pair has one estimate on the scale, and every user its best five at most, in falling order."""
-    _, found = recommend.cross_validate(cut(s.ratings(), "ratings"), iterations=3)
+    _, found = recommend.cross_validate(cut(s.ratings(), "ratings"))
     on_scale = F.col("prediction").between(recommend.LOW, recommend.HIGH)
     users = recommend.top_n(found).groupBy("user_id").agg(F.count("*").alias("top"), F.min("prediction").alias("least"))
     pairs = found.groupBy("user_id").agg(F.count("*").alias("pairs"), F.every(on_scale).alias("on_scale"))

@@ -32,7 +32,8 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
 
     All child tables go through one grouping. Parents above ``limit`` are found by
     a map-side count first; their children are spread over ``ceil(count / limit)``
-    parts by a hash of the child's id (of its fields where no id is named). All
+    parts by a hash of the child's id and fields, so children that share an id, or
+    have none, are spread as well. All
     other parents have the single part 0; a part that got no child is left out,
     but part 0 of a parent is always there. ``n_<name>`` counts the children of
     the parent, whatever part they are in and whatever the limit is.
@@ -40,7 +41,7 @@ def nest_many(children: Mapping[str, Child], keys: Sequence[str], limit: int | N
     names = list(children)
     rows = _union_by_name(
         [
-            c.rows.select(*keys, F.struct(*c.fields).alias(n), F.xxhash64(*(c.ids or [F.struct(*c.fields)])).alias("_hash"))
+            c.rows.select(*keys, F.struct(*c.fields).alias(n), F.xxhash64(*c.ids, F.struct(*c.fields)).alias("_hash"))
             for n, c in children.items()
         ]
     )

@@ -10,7 +10,7 @@ from tidemark.functions.clean import EPOCH_EVENT
 from tidemark.functions.dates import complete_units
 from tidemark.functions.rules import flag, gender, street
 from tidemark.operators.joins import attach_tenant, join_on_number, keep_all, lookup, polymorphic_lookup, with_tenant
-from tidemark.operators.nesting import CHILD_LIMIT, nest_children
+from tidemark.operators.nesting import CHILD_LIMIT, Child, nest_children, nest_many
 from tidemark.plans.refine import ITEM_SHIPPING, ORDER_FIELDS, PRODUCT_FIELDS
 from tidemark.plans.rules import coded_order_type, coded_owner
 
@@ -152,6 +152,25 @@ def site_visitors(sites: DataFrame, visitors: DataFrame, users: DataFrame, track
     return rows if tenant is None else rows.withColumn("client", F.lit(tenant))
 
 
+def staging_sites(
+    sites: DataFrame, visitors: DataFrame, users: DataFrame, tracking: DataFrame, tenants: DataFrame, tenant: str, child_limit: int = CHILD_LIMIT,
+) -> DataFrame:
+    """Sites of known users with their visitors and tracking codes nested; a site without either keeps NULLs there."""
+    owners = users.select(F.col("id").alias("user_id"), "tree_user_id")
+    owned = join_on_number(sites.select(F.col("id").alias("site_id"), F.col("user_id").alias("_owner"), "created_at"), owners, "_owner", "user_id").drop("_owner")
+    codes = owned.select("site_id", "user_id").join(tracking.select("user_id", "third_party_tracking_company", "tracking_code"), "user_id")
+    visit = ["visitor_id", "last_visit_date", "visit_count", "ipaddress", "browser_agent", F.col("created_at").alias("created")]
+    children = nest_many(
+        {
+            "analytics_tracking_codes": Child(codes, ["third_party_tracking_company", "tracking_code"], ["tracking_code"]),
+            "visitors": Child(visitors, visit, ["visitor_id"]),
+        },
+        ["site_id"], child_limit,
+    )
+    rows = owned.join(children, "site_id", "left")
+    return attach_tenant(rows.withColumns({"part": F.coalesce("part", F.lit(0)), "parts": F.coalesce("parts", F.lit(1))}), tenants, tenant)
+
+
 def tasks(raw: DataFrame, users: DataFrame, any_case: bool = True) -> DataFrame:
     """Tasks but tests; those without a title go too. ``any_case``: 'Test' counts as well."""
     title = F.col("task_title")

@@ -83,6 +83,38 @@ class Marks:
         if window.has_data:
             self._append(self.path, MARK_SCHEMA, job, table, window.last)
 
+    def set_all(self, job: str, windows: Mapping[str, Window]) -> None:
+        """Commit the upper bounds of several tables at once."""
+        now = datetime.now(timezone.utc)
+        rows = [(job, t, w.last, now) for t, w in windows.items() if w.has_data]
+        if rows:
+            self.spark.createDataFrame(rows, MARK_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def planned_windows(self, job: str, tables: Mapping[str, DataFrame]) -> dict[str, Window]:
+        """``planned_window`` of several tables, each its own source: the marks are read once, the upper bounds of all
+        found in one job, and new plans written in one append."""
+        plans = f"{self.path.rstrip('/')}-planned"
+        mine = F.col("dag_id") == job
+        marks = {r["table"]: r["checkpoint"] for r in self.current().filter(mine).collect()}
+        lower = {t: marks.get(t, START) for t in tables}
+        opened = {r["table"]: r for r in self._latest(plans, PLAN_SCHEMA).filter(mine).collect()}
+        found = {
+            t: Window(r["first"], r["checkpoint"]) for t, r in opened.items()
+            if t in lower and r["first"] == lower[t] and r["checkpoint"] != r["first"]
+        }
+        new = [t for t in tables if t not in found]
+        if new:
+            bounds = union_all(
+                upper_bound({t: tables[t]}, lower[t]).select(F.lit(t).alias("table"), F.col("last").cast("string").alias("last")) for t in new
+            )
+            made = {r["table"]: Window(lower[r["table"]], r["last"]) for r in bounds.collect()}
+            now = datetime.now(timezone.utc)
+            rows = [(job, t, w.last, w.first, now) for t, w in made.items() if w.has_data]
+            if rows:
+                self.spark.createDataFrame(rows, PLAN_SCHEMA).coalesce(1).write.mode("append").parquet(plans)
+            found |= made
+        return {t: found[t] for t in tables}
+
     def next_window(self, job: str, table: str, sources: Mapping[str, DataFrame]) -> Window:
         lower = self.get(job, table)
         last = upper_bound(sources, lower).select(F.col("last").cast("string")).first()["last"]

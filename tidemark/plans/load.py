@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark import config
 from tidemark import schema as sch
 from tidemark.functions.clean import LINE, REASON, accepted, checked, clean_relational, coerce, enrich, rejected, stamp, stringify_temporals
-from tidemark.plans.incremental import Marks, Window
+from tidemark.plans.incremental import Marks, Window, window_name
 from tidemark.session import cut
 from tidemark.sinks import export as out
 from tidemark.sinks import tables as sink
@@ -126,9 +126,19 @@ def export_table(
     tables: Mapping[str, str] = config.EXPORT_TABLES,
 ) -> Window:
     """One table's window to NDJSON; the mark moves after the files are written."""
-    window = marks.planned_window(job, table, {table: df})
-    if window.has_data:
-        rows = filtered(df, (window.first, window.last), tree_user_ids, created_after, tables=tables, table=table)
-        out.export(rows, folder, table)
-        marks.set(job, table, window)
-    return window
+    return export_tables(marks, job, {table: df}, folder, tree_user_ids, created_after, tables)[table]
+
+
+def export_tables(
+    marks: Marks, job: str, frames: Mapping[str, DataFrame], folder: str, tree_user_ids: Sequence[int] | None = None, created_after=None,
+    tables: Mapping[str, str] = config.EXPORT_TABLES,
+) -> dict[str, Window]:
+    """The next window of several tables to NDJSON, each window in a folder of its own; a later one, though it holds
+    the boundary rows again, leaves earlier files alone. The marks move after all files are written."""
+    windows = marks.planned_windows(job, frames)
+    for table, window in windows.items():
+        if window.has_data:
+            rows = filtered(frames[table], (window.first, window.last), tree_user_ids, created_after, tables=tables, table=table)
+            out.export(rows, f"{folder}/{table}", window_name(window), name=table)
+    marks.set_all(job, windows)
+    return windows
