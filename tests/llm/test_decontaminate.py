@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tidemark.llm import decontaminate as d
 
@@ -88,3 +89,29 @@ def test_short_items_are_found_within_the_budget():
         index = d.build([1, 2], [letters[:size], ITEM])
         got = list(d._passages(pa.array(["zz zz", f"zz {''.join(text)} zz {ITEM}"]), index))
         assert [g[:4] for g in got] == [(1, 0, len(places), 3), (1, 1, 0, size + 7)], size
+
+
+def test_a_repeated_phrase_in_long_texts_is_bounded():
+    """Pairs of places of text and item are counted as they are made: memory follows the bands, not the pairs."""
+    import tracemalloc
+
+    index = d.build([1, 2], ["ab " * 100, "quite another item with words of its own here"])
+    for size in (30_000, 300_000):
+        text = np.frombuffer(("ab " * (size // 3)).encode(), np.uint8)
+        tracemalloc.start()
+        found = list(d.find(text, np.array([0, len(text)]), index))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert [f[:4] for f in found] == [(0, 0, 0, 0)] and peak < 200 << 20, (size, peak >> 20)
+
+
+@pytest.mark.parametrize("pairs", [7, 1000])
+def test_bands_do_not_depend_on_how_pairs_are_cut(monkeypatch, pairs):
+    rng = np.random.default_rng(2)
+    index = d.build([0, 1], ["abab" * 30 + "end of the item", "baba cdcd " * 9])
+    text = rng.choice(np.frombuffer(b"abcd ", np.uint8), 3000)
+    text[500:620] = np.frombuffer(b"abab" * 30, np.uint8)
+    own = np.array([0, 700, 3000])
+    want = list(d.find(text, own, index))
+    monkeypatch.setattr(d, "PAIRS", pairs)
+    assert list(d.find(text, own, index)) == want

@@ -25,6 +25,7 @@ EDIT_SHARE = 0.06
 INDEX_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 19
 STRETCH = 1 << 20
+PAIRS = 1 << 19
 _BITS = 20
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -118,7 +119,10 @@ def align(item: bytes, region: bytes, most: int) -> tuple[int, int, int] | None:
         return None
     edge = np.full(most + len(item), 255, np.uint8)  # no text has this byte: reaching past the region costs edits
     doc = np.concatenate([edge[:most], np.frombuffer(region, np.uint8), edge])
-    width = len(region) + most + 1
+    # starts further right would run past the region by more than all edits; paths stray by that many diagonals at most
+    width = min(len(region) + most + 1, len(region) - len(item) + 3 * most + 1)
+    if width <= 0:
+        return None
     one = np.int64(1 << 32)
     ramp = np.arange(width, dtype=np.int64) * one
     cost = np.arange(width, dtype=np.int64)
@@ -131,6 +135,37 @@ def align(item: bytes, region: bytes, most: int) -> tuple[int, int, int] | None:
     return (edits, max(0, start), max(0, min(len(region), end))) if edits <= most else None
 
 
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of ``keys`` once each, in order, with their counts added up."""
+    order = np.lexsort(keys[::-1])
+    keys, counts = keys[:, order], counts[order]
+    fresh = np.ones(keys.shape[1], bool)
+    fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
+    first = np.flatnonzero(fresh)
+    return keys[:, first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _bands(where: np.ndarray, slot: np.ndarray, row: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, item, band)`` columns and how many q-grams each band shares. Where a phrase repeats in text and item,
+    their pairs of places are many more than bands: pairs are made ``PAIRS`` at a time and counted at once."""
+    times = index.starts[slot + 1] - index.starts[slot]
+    ends = np.cumsum(times)
+    parts, held = [(np.zeros((3, 0), np.int64), np.zeros(0, np.int64))], 0
+    for at in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+        pair = np.arange(at, min(at + PAIRS, int(ends[-1])))
+        hit = np.searchsorted(ends, pair, "right")
+        entry = index.starts[slot[hit]] + pair - ends[hit] + times[hit]
+        item = index.items[entry]
+        band = (where[hit] - index.places[entry]) // (index.edits[item] + 1)
+        keys = np.concatenate([np.stack([row[hit], item, band]), np.stack([row[hit], item, band - 1])], 1)
+        parts.append(_added(keys, np.ones(keys.shape[1], np.int64)))
+        held += len(parts[-1][1])
+        if held > 2 * PAIRS:
+            parts = [_added(*(np.concatenate(x, -1) for x in zip(*parts)))]
+            held = len(parts[0][1]) // 2  # what is left grows with the bands alone
+    return _added(*(np.concatenate(x, -1) for x in zip(*parts)))
+
+
 def find(text: np.ndarray, own: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int, int]]:
     """``(row, item, edits, start, end, shared)``: of each row and item the closest passage, places counted from the
     start of the row; ``shared`` is the most q-grams a retained band has."""
@@ -149,22 +184,10 @@ def find(text: np.ndarray, own: np.ndarray, index: Index) -> Iterator[tuple[int,
     row = np.searchsorted(own, where, "right") - 1
     whole = where + size <= own[row + 1]
     where, slot, row = where[whole], slot[whole], row[whole]
-    times = index.starts[slot + 1] - index.starts[slot]
-    entry = np.repeat(index.starts[slot] - np.cumsum(times) + times, times) + np.arange(times.sum())
-    row, item = np.repeat(row, times), index.items[entry]
-    diagonal = np.repeat(where, times) - own[row] - index.places[entry]
-    step = index.edits[item] + 1
-    band = diagonal // step
-    keys = np.concatenate([np.stack([row, item, band]), np.stack([row, item, band - 1])], 1)
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    fresh = np.ones(keys.shape[1], bool)
-    fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
-    first = np.flatnonzero(fresh)
-    counts = np.diff(np.append(first, keys.shape[1]))
-    kept = counts >= index.least[keys[1, first]]
+    keys, counts = _bands(where - own[row], slot, row, index)
+    kept = counts >= index.least[keys[1]]
     best: dict[tuple[int, int], tuple] = {}
-    for (r, i, b), n in zip(keys[:, first[kept]].T.tolist(), counts[kept].tolist()):
+    for (r, i, b), n in zip(keys[:, kept].T.tolist(), counts[kept].tolist()):
         k, size, begin, end = int(index.edits[i]), len(index.texts[i]), int(own[r]), int(own[r + 1])
         lo = max(0, b * (k + 1) - k)
         hi = min(end - begin, (b + 2) * (k + 1) + size + k)
