@@ -7,6 +7,7 @@ ORACLE: dict[str, str] = {
     "days_to_last_sale": cohort.days_to_last_sale(),
     "lifetime_value": cohort.lifetime_value(),
     "lifetime_value_of_tenant": cohort.lifetime_value("AND client = 'europe'"),
+    "tenant_report_chain": cohort.tenant_report_chain(),
     "cohort_value": cohort.cohort_value(),
     "cohort_uplift": cohort.cohort_uplift(),
     "first_30_day_sellers": cohort.first_month_sellers(),

@@ -191,3 +191,25 @@ def test_topics_and_recommender_small(spark):
     assert len(rmse) == 3 and all(0 < x < 4 for x in rmse)
     top = recommend.top_n(predictions).collect()
     assert max(Counter(r["user_id"] for r in top).values()) <= 5 and all(1 <= r["prediction"] <= 5 for r in top)
+
+
+def test_a_chain_reads_its_sources_once(spark, frame):
+    from tidemark.plans import chain, cohort
+
+    users = frame("client string, tree_user_id long, created timestamp_ntz, type string", ("North", 1, "2020-01-01", "Distributor"), ("south", 2, "2020-01-01", "Distributor"))
+    ddl = "commission_user_id long, tree_user_id long, order_id long, type string, status string, total double, order_date timestamp_ntz, is_autoship boolean"
+    orders = frame(ddl, *((u, u, o, "Retail", "Active", 5.0, f"2020-01-0{o}", False) for u in (1, 2) for o in (2, 3, 3)), (1, 1, 9, "Retail", "Cancelled", 1.0, "2020-01-01", False))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        reads.add(1)
+        return x
+
+    watched = orders.withColumn("order_id", F.udf(counted, "long")("order_id"))
+    done = chain.run_reports(users, watched, "NORTH", {
+        "first": lambda b: cohort.days_to_first_sale(b.users, b.orders), "mix": lambda b: cohort.order_mix(b.users, b.orders),
+        "last": lambda b: cohort.days_to_last_sale(b.users, b.orders, "2019-01-01", "2021-01-01"),
+    })
+    assert [(r["days_to_first_sale"], r["num"]) for r in done["first"].collect()] == [(1, 1)]
+    assert [r["count"] for r in done["mix"].collect()] == [2] and [r[0] for r in done["last"].collect()] == [2]
+    assert reads.value <= orders.count()

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.adapters import Star
 from tidemark.catalog.base import AS_OF, HIGH, LOW, query
 from tidemark.functions import rules
-from tidemark.plans import cohort, profile, tree, usage
+from tidemark.operators.versions import union_all
+from tidemark.plans import chain, cohort, profile, tree, usage
 
 # ---- cohort and value reports -------------------------------------------------
 
@@ -35,6 +36,25 @@ def _(s: Star) -> DataFrame:
     return cohort.lifetime_value(s.users(), s.orders().join(owners, "commission_user_id"), LOW, HIGH, client="Europe")
 
 
+#: The reports of a tenant's chain, and the measure that is added up to compare them.
+CHAIN = {
+    "days_to_first_sale": (lambda b: cohort.days_to_first_sale(b.users, b.orders), "num"),
+    "days_to_last_sale": (lambda b: cohort.days_to_last_sale(b.users, b.orders, LOW, HIGH), "num_retail_sales"),
+    "lifetime_value": (lambda b: cohort.lifetime_value(b.users, b.orders, LOW, HIGH), "sales_count"),
+    "first_30_day_sellers": (lambda b: cohort.first_month_sellers(b.users, b.orders, LOW, HIGH), "active_sales_count"),
+    "order_mix_shares": (lambda b: cohort.order_mix(b.users, b.orders), "count"),
+}
+
+
+@query("tenant_report_chain")
+def _(s: Star) -> DataFrame:
+    """Five reports of one tenant in one run over one base: rows and a sum of each."""
+    done = chain.run_reports(s.users(), s.orders(), "Europe", {name: report for name, (report, _) in CHAIN.items()})
+    return union_all(
+        df.agg(F.lit(name).alias("report"), F.count("*").alias("n"), F.sum(CHAIN[name][1]).cast("long").alias("measure")) for name, df in done.items()
+    )
+
+
 @query("cohort_value")
 def _(s: Star) -> DataFrame:
     return cohort.cohort_value(s.users(), s.orders(), LOW, HIGH)
