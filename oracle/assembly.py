@@ -81,7 +81,7 @@ FROM documents JOIN customer ON c_custkey = doc_id * 3 WHERE text NOT ILIKE '%te
 
 def backfill_users() -> str:
     return with_views(USER_VIEWS, f"""WITH t AS {_latest('lk_tree_users', 'client, id')}, ty AS {_latest('lk_user_types', 'client, id')}, st AS {_latest('lk_user_statuses', 'client, id')}
-SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, 'z/0' AS event_id, t.id AS tree_user_id, u.id AS user_id, sponsor_id, parent_id,
+SELECT c.partition_id AS client_partition_id, c.partner_id AS client_partner_id, t.client, 'z/0' AS event_id, t.id AS tree_user_id, u.id AS user_id, sponsor_id, parent_id,
   CASE WHEN ty.description LIKE '%Customer%' OR ty.description = 'Employee' THEN 'Autoship' ELSE 'Distributor' END AS type,
   CASE WHEN st.description IN ('Active', 'Grace', 'Hold') THEN 'Active' ELSE 'Inactive' END AS status, ty.description AS client_type, zip,
   strftime(coded_date, '%Y-%m-%d %H:%M:%S.%f') AS coded, strftime(created_date, '%Y-%m-%d %H:%M:%S.%f') AS created, st.description AS client_status, strftime(updated_date, '%Y-%m-%d %H:%M:%S.%f') AS modified
@@ -127,7 +127,7 @@ FROM (SELECT substr('BCDEIRXYZ', CAST(l_partkey % 9 + 1 AS INTEGER), 1) AS code
 
 def backfill_pii() -> str:
     return with_views(["lk_tree_users", "clients"], f"""
-SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, 'z/0' AS event_id, id AS tree_user_id, first_name, last_name, company_name,
+SELECT c.partition_id AS client_partition_id, c.partner_id AS client_partner_id, t.client, 'z/0' AS event_id, id AS tree_user_id, first_name, last_name, company_name,
   address1 || CASE WHEN address2 <> '' THEN ' ' || address2 ELSE '' END AS street, city, state, country, email, phone, mobile_phone,
   CASE gender WHEN 'F' THEN 'female' WHEN 'male' THEN 'male' ELSE 'none' END AS gender, CAST(birth_date AS VARCHAR) AS birth_date
 FROM {_latest('lk_tree_users', 'client, id')} t JOIN clients c USING (client) WHERE t.client = '{T}'""")

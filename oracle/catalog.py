@@ -85,6 +85,7 @@ ORACLE: dict[str, str] = {
     "document_terms": models.document_terms(),
     "term_weights": models.term_weights(),
     "topic_facts": models.topic_facts(),
+    "rating_errors": models.rating_errors(),
     "recommender_facts": models.recommender_facts(),
     "bucket_upsert": state.bucket_upsert(),
     "users_from_states": state.users_from_states(),

@@ -15,7 +15,7 @@ def compress_roundtrip() -> str:
 
 
 def csv_ingest() -> str:
-    return """SELECT 'e' || c_custkey AS entity_id, CASE WHEN c_custkey % 13 > 0 THEN c_custkey END AS tree_user_id, lower(c_mktsegment) AS prediction, 'p-1' AS client_wrench_id,
+    return """SELECT 'e' || c_custkey AS entity_id, CASE WHEN c_custkey % 13 > 0 THEN c_custkey END AS tree_user_id, lower(c_mktsegment) AS prediction, 'p-1' AS client_partner_id,
   'trial' AS expirement_name, '2020-01-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || ' 10:00:00.000000' AS processing_datetime,
   CASE WHEN c_custkey % 13 = 0 THEN 'tree_user_id' ELSE '' END AS rejects FROM customer"""
 

@@ -42,7 +42,7 @@ def _users(last: str = LAST) -> str:
     return f"""ids AS (SELECT client, id FROM lk_tree_users WHERE {_between(last)} UNION SELECT client, tree_user_id FROM lk_users WHERE {_between(last)}),
 t AS {_latest('lk_tree_users', 'client, id')},
 ty AS {_latest('lk_user_types', 'client, id')}, st AS {_latest('lk_user_statuses', 'client, id')},
-r AS (SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, t.id AS tree_user_id, u.id AS user_id, t.sponsor_id, t.zip, t.updated_date AS modified,
+r AS (SELECT c.partition_id AS client_partition_id, c.partner_id AS client_partner_id, t.client, t.id AS tree_user_id, u.id AS user_id, t.sponsor_id, t.zip, t.updated_date AS modified,
   ty.description AS d, st.description AS client_status, p.name AS client_paid_rank, p.level AS client_paid_rank_level, l.name AS client_lifetime_rank, l.level AS client_lifetime_rank_level, t.event_id
 FROM t JOIN ids USING (client, id) JOIN clients c USING (client)
 LEFT JOIN lk_users u ON u.client = t.client AND u.tree_user_id = t.id
@@ -56,7 +56,7 @@ USER_VIEWS = ["lk_tree_users", "lk_users", "lk_user_types", "lk_user_statuses",
 
 def staging_users() -> str:
     return with_views(USER_VIEWS, f"""WITH {_users()}
-SELECT client_partition_id, client_wrench_id, client, tree_user_id, user_id, sponsor_id, zip, strftime(modified, '%Y-%m-%d %H:%M:%S.%f') AS modified, d AS client_type, client_status,
+SELECT client_partition_id, client_partner_id, client, tree_user_id, user_id, sponsor_id, zip, strftime(modified, '%Y-%m-%d %H:%M:%S.%f') AS modified, d AS client_type, client_status,
   client_paid_rank, client_paid_rank_level, client_lifetime_rank, client_lifetime_rank_level, event_id,
   CASE WHEN client = 'america' THEN d ELSE {TYPE} END AS type,
   CASE WHEN client = 'america' THEN NULL WHEN lower(client_status) IN ('active', 'grace', 'hold') THEN 'Active' ELSE 'Inactive' END AS status
@@ -108,7 +108,7 @@ LEFT JOIN tu ON tu.client = pc.client AND tu.id = pc.tree_user_id LEFT JOIN lk_u
 def pii_users() -> str:
     where = f"ingested_at > TIMESTAMP '{FIRST}' AND ingested_at <= TIMESTAMP '{LAST}'"
     return with_views(["lk_tree_users", "clients"], f"""
-SELECT c.partition_id AS client_partition_id, c.wrench_id AS client_wrench_id, t.client, event_id, id AS tree_user_id, first_name, last_name, company_name,
+SELECT c.partition_id AS client_partition_id, c.partner_id AS client_partner_id, t.client, event_id, id AS tree_user_id, first_name, last_name, company_name,
   address1 || CASE WHEN address2 <> '' THEN ' ' || address2 ELSE '' END AS street, city, state, country, email, phone, mobile_phone,
   CASE gender WHEN 'F' THEN 'female' WHEN 'male' THEN 'male' ELSE 'none' END AS gender, CAST(birth_date AS VARCHAR) AS birth_date,
   strftime(created_date, '%Y-%m-%d %H:%M:%S.%f') AS created_at

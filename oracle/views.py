@@ -149,4 +149,4 @@ SELECT client, 'z/' || lpad(CAST(o_orderkey AS VARCHAR), 13, '0') AS event_id, o
 view("lk_links", """
 SELECT client, 'z/' || lpad(CAST(o_orderkey AS VARCHAR), 13, '0') AS event_id, o_orderdate AS ingested_at, o_orderkey AS id, o_custkey AS contact_id,
   CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS contact_category_id, o_orderdate AS created_at FROM ot""", "ot")
-view("clients", "SELECT lower(r_name) AS client, r_regionkey + 1 AS partition_id, 'p-' || lower(r_name) AS wrench_id FROM region WHERE r_name <> 'ASIA'")
+view("clients", "SELECT lower(r_name) AS client, r_regionkey + 1 AS partition_id, 'p-' || lower(r_name) AS partner_id FROM region WHERE r_name <> 'ASIA'")

@@ -16,7 +16,7 @@ def version(client, day, ingest=None):
 
 @pytest.fixture()
 def tenants(spark):
-    return config.tenants(spark, [{"client": "north", "partition_id": 2, "wrench_id": "n"}, {"client": "south", "partition_id": 4, "wrench_id": "s"}])
+    return config.tenants(spark, [{"client": "north", "partition_id": 2, "partner_id": "n"}, {"client": "south", "partition_id": 4, "partner_id": "s"}])
 
 
 def dimension(frame, *words):

@@ -134,7 +134,7 @@ def test_message_summary_of_one_and_of_many_rows_agree(spark):
 def test_messages_without_recipients_hold_one_empty_record(frame, spark):
     from tidemark import config
 
-    tenants = config.tenants(spark, [{"client": "north", "partition_id": 1, "wrench_id": "n"}])
+    tenants = config.tenants(spark, [{"client": "north", "partition_id": 1, "partner_id": "n"}])
     messages = frame("id long, sender_id long, sender_type string", (1, 5, "User"), (2, 6, "PyrCrm::Contact"))
     to = frame("message_id long, recipient_id long, recipient_type string, delivery_type string", (1, 6, "PyrCrm::Contact", "email"), (1, 3, "PyrTree::User", "email"), (2, 5, "User", "sms"))
     users, contacts = frame("id long, tree_user_id long", (5, 50)), frame("id long, tree_user_id long", (6, 60))
@@ -213,3 +213,17 @@ def test_a_chain_reads_its_sources_once(spark, frame):
     assert [(r["days_to_first_sale"], r["num"]) for r in done["first"].collect()] == [(1, 1)]
     assert [r["count"] for r in done["mix"].collect()] == [2] and [r[0] for r in done["last"].collect()] == [2]
     assert reads.value <= orders.count()
+
+
+def test_biased_factors_beat_biases_and_the_mean(frame):
+    from tidemark.plans import biased
+
+    rng = random.Random(5)
+    taste = {u: [rng.gauss(0, 1) for _ in range(2)] for u in range(60)}
+    kind = {p: [rng.gauss(0, 1) for _ in range(2)] for p in range(40)}
+    off = {u: rng.gauss(0, 0.4) for u in range(60)}
+    rating = lambda u, p: min(5.0, max(1.0, 3 + off[u] + 0.8 * sum(a * b for a, b in zip(taste[u], kind[p])) + rng.gauss(0, 0.1)))
+    rows = [(u, p, rating(u, p)) for u in range(60) for p in range(40) if rng.random() < 0.7]
+    got = biased.errors(frame("user_id long, product_id long, rating double", *rows), rank=3, passes=10).collect()
+    assert sorted(r["fold"] for r in got) == [0, 1, 2] and sum(r["n"] for r in got) == len(rows)
+    assert all(r["factors"] < 0.5 * min(r["biases"], r["constant"]) for r in got), got

@@ -50,7 +50,7 @@ def test_prediction_load(spark, tmp_path):
     tables.create_table(spark, lake, full)
     assert load.load_predictions(spark, str(tmp_path / "in"), lake) and not load.load_predictions(spark, str(tmp_path / "none"), lake)
     row = spark.read.schema(full).parquet(lake).first()
-    assert (row["tree_user_id"], row["client_wrench_id"]) == (1, "o") and row["ingested_at"] is not None
+    assert (row["tree_user_id"], row["client_partner_id"]) == (1, "o") and row["ingested_at"] is not None
 
 
 def test_ratings_without_header(spark, tmp_path):

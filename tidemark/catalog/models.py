@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.adapters import Star
 from tidemark.catalog.base import query
-from tidemark.plans import recommend, topics
+from tidemark.plans import biased, recommend, topics
 from tidemark.session import cut
 
 
@@ -142,6 +142,15 @@ def _(s: Star) -> DataFrame:
     return pairs.join(users, "user_id").select("user_id", "pairs", "on_scale", "top")
 
 
+@query("rating_errors")
+def _(s: Star) -> DataFrame:
+    """Errors of three recommenders per fold. The given ratings are drawn without regard to user or product, so the best
+    anyone can do is the constant; the biased factors are to come within a tenth of it."""
+    fold = F.pmod(F.col("user_id") * 7 + F.col("product_id"), F.lit(3))
+    rows = biased.errors(cut(s.ratings(), "ratings"), fold=fold)
+    return rows.select("fold", "n", F.round("constant", 9).alias("constant"), F.round("biases", 9).alias("biases"), (F.col("factors") < 1.1 * F.col("constant")).alias("close"))
+
+
 @query("recommender_folds")
 def _(s: Star) -> DataFrame:
     rmse, _ = recommend.cross_validate(cut(s.ratings(), "ratings"))

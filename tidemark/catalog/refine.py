@@ -21,7 +21,7 @@ RULES = config.Rules(
 def tenant_table(s: Star) -> DataFrame:
     """Tenant dimension: every region but one, so unknown tenants occur."""
     return s.table("region").filter("r_name <> 'ASIA'").selectExpr(
-        "lower(r_name) AS client", "CAST(r_regionkey + 1 AS BIGINT) AS partition_id", "concat('p-', lower(r_name)) AS wrench_id"
+        "lower(r_name) AS client", "CAST(r_regionkey + 1 AS BIGINT) AS partition_id", "concat('p-', lower(r_name)) AS partner_id"
     )
 
 
@@ -61,7 +61,7 @@ def _(s: Star) -> DataFrame:
 
 def user_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
-        "client_partition_id", "client_wrench_id", "client", "tree_user_id", "user_id", "sponsor_id", "zip", "modified", "client_type",
+        "client_partition_id", "client_partner_id", "client", "tree_user_id", "user_id", "sponsor_id", "zip", "modified", "client_type",
         "client_status", "client_paid_rank", "client_paid_rank_level", "client_lifetime_rank", "client_lifetime_rank_level",
         "event_id", "type", "status",
     )

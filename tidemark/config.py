@@ -18,7 +18,7 @@ TENANT_SCHEMA = T.StructType(
     [
         T.StructField("client", T.StringType(), False),
         T.StructField("partition_id", T.LongType(), False),
-        T.StructField("wrench_id", T.StringType(), False),
+        T.StructField("partner_id", T.StringType(), False),
     ]
 )
 

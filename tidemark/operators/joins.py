@@ -37,7 +37,7 @@ def with_tenant(df: DataFrame, tenants: DataFrame) -> DataFrame:
     side = tenants.select(
         TENANT,
         F.col("partition_id").alias("client_partition_id"),
-        F.col("wrench_id").alias("client_wrench_id"),
+        F.col("partner_id").alias("client_partner_id"),
     )
     return df.join(side, TENANT, "inner")
 

@@ -190,7 +190,7 @@ def backfill_users(tree_users: DataFrame, users: DataFrame, types: DataFrame, st
     rows = lookup(rows, types, {"user_type_id": "id"}, {"client_type": "description"}, "inner")
     rows = lookup(rows, statuses, {"user_status_id": "id"}, {"client_status": "description"}, "inner")
     return attach_tenant(rows, tenants, tenant).select(
-        "client_partition_id", "client_wrench_id", "client", F.lit(EPOCH_EVENT).alias("event_id"),
+        "client_partition_id", "client_partner_id", "client", F.lit(EPOCH_EVENT).alias("event_id"),
         F.current_timestamp().alias("ingested_at"), F.col("id").alias("tree_user_id"), "user_id", "sponsor_id", "parent_id",
         F.lit(PLACEHOLDER).alias("type"), F.lit(PLACEHOLDER).alias("status"), "client_type", "zip",
         F.col("coded_date").alias("coded"), F.col("created_date").alias("created"), "client_status", F.col("updated_date").alias("modified"),
@@ -211,7 +211,7 @@ def backfill_orders(
     rows = lookup(rows, products, {"id": "order_id"}, {"products": "products", "part": "part"})
     buyer = (F.col("user_type"), F.col("coded"), F.col("order_date"))
     return rows.select(
-        "client", "client_partition_id", "client_wrench_id", F.lit(EPOCH_EVENT).alias("event_id"), F.current_timestamp().alias("ingested_at"),
+        "client", "client_partition_id", "client_partner_id", F.lit(EPOCH_EVENT).alias("event_id"), F.current_timestamp().alias("ingested_at"),
         F.col("id").alias("order_id"), coded_owner(*buyer, F.col("tree_user_id"), F.col("sponsor_id")).alias("commission_user_id"),
         "tree_user_id", coded_order_type(*buyer).alias("type"), F.lit(PLACEHOLDER).alias("status"), "client_type", "client_status",
         flag(F.col("autoship_template_id")).alias("is_autoship"), *ORDER_FIELDS, F.col("created_date").alias("created"),
@@ -221,7 +221,7 @@ def backfill_orders(
 
 def backfill_pii(tree_users: DataFrame, tenants: DataFrame, tenant: str) -> DataFrame:
     return attach_tenant(tree_users, tenants, tenant).select(
-        "client_partition_id", "client_wrench_id", "client", F.lit(EPOCH_EVENT).alias("event_id"), F.current_timestamp().alias("ingested_at"),
+        "client_partition_id", "client_partner_id", "client", F.lit(EPOCH_EVENT).alias("event_id"), F.current_timestamp().alias("ingested_at"),
         F.col("id").alias("tree_user_id"), "first_name", "last_name", "company_name",
         street(F.col("address1"), F.col("address2")).alias("street"), "city", "state", "country", "email", "phone", "mobile_phone",
         gender(F.col("gender")).alias("gender"), "birth_date",

@@ -53,7 +53,7 @@ def refined_users(lake: Lake, tenants: DataFrame, first, last) -> DataFrame:
     ranks = {"client_lifetime_rank": "name", "client_lifetime_rank_level": "level"}
     rows = lookup_latest(rows, lake["pyr_rank_definitions"], "rank_id", ranks, key="level")
     return rows.select(
-        "client_partition_id", "client_wrench_id", "client",
+        "client_partition_id", "client_partner_id", "client",
         F.col("id").alias("tree_user_id"), "user_id", "sponsor_id", "parent_id", "zip",
         F.col("created_date").alias("created"), F.col("updated_date").alias("modified"), F.col("coded_date").alias("coded"),
         "client_type", "client_status",
@@ -106,7 +106,7 @@ def refined_orders(lake: Lake, tenants: DataFrame, first, last, type_needs_user:
     if type_needs_user:
         rows = rows.withColumn("client_type", F.when(F.col("tree_user_id").isNotNull(), F.col("client_type")))
     return rows.select(
-        "client_partition_id", "client_wrench_id", "client", "tree_user_id", "sponsor_id", "client_user_type",
+        "client_partition_id", "client_partner_id", "client", "tree_user_id", "sponsor_id", "client_user_type",
         "client_type", "client_status", F.col("id").alias("order_id"), flag(F.col("autoship_template_id")).alias("is_autoship"),
         *ORDER_FIELDS, F.col("created_date").alias("created"), F.col("modified_date").alias("modified"),
         "client_order_id", "client_user_id", "event_id", "ingested_at", "products", "part", "parts",
@@ -179,7 +179,7 @@ def staging_contacts(
     rows = lookup(rows.withColumnRenamed("user_id", "login_id"), logins, {"client": "client", "login_id": "id"}, {"login": "id", "login_user": "tree_user_id"})
     is_member = F.col("member").isNotNull()
     return rows.select(
-        "client_partition_id", "client_wrench_id", "client", F.col("contact_id").alias("id"),
+        "client_partition_id", "client_partner_id", "client", F.col("contact_id").alias("id"),
         F.when(is_member, F.col("sponsor")).otherwise(F.col("login_user")).alias("owner_tree_user_id"),
         F.when(is_member, F.col("login")).otherwise(F.col("login_id")).alias("owner_user_id"),
         F.col("member").alias("tree_user_id"),
@@ -195,7 +195,7 @@ def pii_users(lake: Lake, tenants: DataFrame, first, last) -> DataFrame:
     """Personal data of users ingested in ``(first, last]``, latest version of the window."""
     latest = latest_by(in_window(lake["tree_users"], first, last, lower_inclusive=False), ["client", "id"])
     return with_tenant(latest, tenants).select(
-        "client_partition_id", "client_wrench_id", "client", "event_id", F.current_timestamp().alias("ingested_at"),
+        "client_partition_id", "client_partner_id", "client", "event_id", F.current_timestamp().alias("ingested_at"),
         F.col("id").alias("tree_user_id"), "first_name", "last_name", "company_name",
         street(F.col("address1"), F.col("address2")).alias("street"), "city", "state", "country", "email", "phone",
         "mobile_phone", gender(F.col("gender")).alias("gender"), "birth_date", F.col("created_date").alias("created_at"),

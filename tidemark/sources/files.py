@@ -97,7 +97,7 @@ PREDICTION_SCHEMA = T.StructType(
         T.StructField("entity_id", T.StringType()),
         T.StructField("tree_user_id", T.LongType()),
         T.StructField("prediction", T.StringType()),
-        T.StructField("client_wrench_id", T.StringType()),
+        T.StructField("client_partner_id", T.StringType()),
         T.StructField("expirement_name", T.StringType()),
         T.StructField("processing_datetime", T.TimestampNTZType()),
     ]
