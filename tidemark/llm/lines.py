@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.session import cut
+from tidemark.session import work_dir
 
 MIN_DOCS = 2
 DEPTH = 3
@@ -25,6 +25,21 @@ LEAF_PARTS = 10
 CONSTANT_SHARE = 0.7
 FREE_SHARE = 0.5
 WILD = "<*>"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """``session.cut`` with a codec, as the lines are the corpus once more; the shuffles behind what is written are
+    given up at once, as nothing reads them again."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _masked(line: Column) -> Column:
@@ -55,11 +70,13 @@ def _in_documents(rows: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, depth: int = DEPTH) -> DataFrame:
     """``(_id, _sig, _no, _template, _first)`` of the lines whose template at least ``min_docs`` different texts have;
     ``_first`` is the id and number of the template's first line."""
-    rows = cut(_lines(docs, id_col, text_col, depth), "lines")
+    rows = cut(_lines(docs, id_col, text_col, depth), "lines", "zstd")
+    # counts go by hashes alone; the text of each kind of line is moved once
     leaves = _in_documents(rows.select("_leaf", "_sig"), ["_leaf"], min_docs)
-    once = rows.groupBy("_leaf", "_line", "_sig").agg(*(F.min(c).alias(c) for c in ("_masked", "_n")))
-    kinds = once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs"), *(F.min(c).alias(c) for c in ("_masked", "_n")))
-    known = cut(kinds.join(leaves, "_leaf"), "line-kinds")
+    once = rows.groupBy("_leaf", "_line", "_sig").agg(F.lit(1).alias("_one"))
+    counts = once.groupBy("_leaf", "_line").agg(F.count(F.lit(1)).alias("_docs")).join(leaves, "_leaf")
+    kinds = rows.groupBy("_leaf", "_line").agg(F.min("_masked").alias("_masked"), F.min("_n").alias("_n"))
+    known = cut(kinds.join(counts, ["_leaf", "_line"]), "line-kinds", "zstd")
     tokens = known.select("_leaf", "_line", "_n", "_docs", "_texts", F.posexplode(F.split("_masked", " ")).alias("_at", "_token")).where(F.col("_token") != WILD)
     tokens = tokens.withColumn("_token", F.xxhash64("_at", "_token"))
     support = tokens.groupBy("_leaf", "_token").agg(F.sum("_docs").alias("_support"), F.min("_texts").alias("_texts")).where(F.col("_support") >= min_docs)
