@@ -24,18 +24,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.grams import flat, map_batches, row_blocks
 from tidemark.llm.words import mix, word_hashes
-from tidemark.session import cut
+from tidemark.session import cut, work_dir
 
-BLOCK_DOCS = 512
-BLOCK_BYTES = 4 << 20
+BLOCK_DOCS = 128
+BLOCK_BYTES = 1 << 18
 HASHES = 3
 PLANES = 7
 BITS_PER_TERM = 8
 ITEM_BYTES = 16 << 20
-SEED_BLOCKS = 64
+SEED_BLOCKS = 256
 ITEMS_AT_ONCE = 64
 PAIRS_AT_ONCE = 1024
 BATCH_BYTES = 2 << 20
+GROUP_BYTES = 8 << 20
 K1000, B100, FLAT100 = 8, 90, 10
 
 #: Bytes that end a term count as spaces; letters, digits and all bytes of other than ASCII characters belong to terms.
@@ -128,8 +129,12 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 block["ids"] = block["ids"].to_pylist()
                 yield pa.RecordBatch.from_pylist([block], _INDEX)
 
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return cut(_map(rows, run, INDEX), "lexical-index")
+    folder = work_dir(spark, "lexical-index")
+    # readers and writers hold a row group of each file, so these are kept small
+    _map(rows, run, INDEX).write.option("parquet.block.size", str(GROUP_BYTES)).parquet(folder)
+    return spark.read.schema(INDEX).parquet(folder)
 
 
 def items(queries: DataFrame, id_col: str = "item_id", text_col: str = "text", item_bytes: int = ITEM_BYTES) -> Iterator[tuple[list[int], list[np.ndarray]]]:
