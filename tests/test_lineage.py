@@ -101,6 +101,15 @@ def test_spans_of_time_and_clashing_columns(frame):
         ranges.within(points.withColumn("at", F.lit("x")), spans, ["k"], "at", "low", "high")
 
 
+def test_points_on_many_levels_are_not_broadcast(spark):
+    points = spark.range(300).selectExpr("id % 7 AS k", "id AS p", "id AS at")
+    spans = spark.range(60).selectExpr("id % 7 AS k", "id AS low", "id + (1L << CAST(id % 20 AS INT)) AS high")
+    got = ranges.within(points, spans, ["k"], "at", "low", "high")
+    last = got._jdf.queryExecution().sparkPlan().toString().split("Join [", 1)[0]
+    assert last.rstrip().endswith("SortMerge"), last
+    assert got.count() == sum(r["low"] <= p <= r["high"] for r in spans.collect() for p in range(300) if p % 7 == r["k"])
+
+
 def test_ranges_of_equal_counts(spark, frame):
     keys = spark.range(3000).selectExpr("CASE WHEN id % 10 = 0 THEN NULL WHEN id < 2500 THEN id % 40 + 1000000 ELSE id * 1000000 END AS key")
     parts = tables.balanced_predicates(keys, "key", 8)

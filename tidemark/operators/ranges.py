@@ -55,6 +55,7 @@ def within(
     parts = placed.groupBy(*place).agg(F.ceil(F.count("*") / crowd).cast("int").alias("_parts")).filter("_parts > 1")
     salted = placed.join(parts, place, "left").withColumn("_part", F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*points.columns), F.col("_parts"))).otherwise(0).cast("int"))
     copied = binned.join(parts, place, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-    found = salted.drop("_parts").join(copied.drop("_parts"), [*place, "_part"])
+    # Spark's estimate of an explode is that of its input: points on many levels would pass for a small side and be broadcast
+    found = salted.drop("_parts").hint("merge").join(copied.drop("_parts"), [*place, "_part"])
     held = found.filter((F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high")))
     return held.select(*points.columns, *(c for c in spans.columns if c not in keys))
