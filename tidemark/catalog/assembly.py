@@ -12,6 +12,7 @@ from tidemark.catalog.refine import lake_tables, tenant_table
 from tidemark.operators import changes, joins, versions
 from tidemark.plans import assembly, incremental, refine
 from tidemark.plans import rules as tenant_rules
+from tidemark.session import cut
 from tidemark.sources import tables
 
 TENANT = "europe"
@@ -187,7 +188,7 @@ def _(s: Star) -> DataFrame:
 def _(s: Star) -> DataFrame:
     users = s.users().select("client", "tree_user_id", "sponsor_id", "coded", "type")
     raw = versions.latest_by(s.lake_orders(), ["client", "id"])
-    items = versions.latest_by(s.lake_order_items(), ["client", "id"])
+    items = cut(versions.latest_by(s.lake_order_items(), ["client", "id"]), "items")  # read twice, to count and to nest
     types, statuses = _latest(s, "tree_order_types"), _latest(s, "tree_order_statuses")
     rows = assembly.backfill_orders(raw, items, types, statuses, users, tenant_table(s), TENANT)
     rows = tenant_rules.update_order_status(rows, TENANT)
