@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema
+from tidemark.catalog import QUERIES
 from tidemark.functions import codec
 from tidemark.plans import load
 from tidemark.sinks import tables
@@ -79,3 +80,21 @@ def test_replays_and_late_events_over_several_runs(spark, frame, tmp_path):
     # a replay of the same event wins, an older event that comes late does not
     assert arrive(("n", 2, "z/1", "2020-02-01", "b again"), ("n", 1, "z/1", "2020-03-01", "late")) == [(1, "a"), (2, "b again")]
     assert arrive(("n", 1, "z/3", "2020-01-02", "c")) == [(1, "c"), (2, "b again")]
+
+
+def test_stream_files_grow_in_number_with_the_texts(spark, tmp_path, monkeypatch):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    docs.repartition(12).write.parquet(f"{tmp_path}/tables/documents.parquet")
+    monkeypatch.setattr("tidemark.catalog.ingest.work_dir", lambda spark, name: f"{tmp_path}/{name}")
+    given = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in given}
+    for k, v in given.items():
+        spark.conf.set(k, v)
+    try:
+        rows = QUERIES["file_stream_ingest"](spark, f"{tmp_path}/tables").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r["doc_id"] for r in rows) == list(range(1200)) and {r["client"] for r in rows} == {"europe"}
+    assert len(list(tmp_path.glob("stream/in/part-*"))) == 12
+    assert len(list(tmp_path.glob("stream/checkpoint/commits/[0-9]*"))) == 2

@@ -69,8 +69,10 @@ def _(s: Star) -> DataFrame:
 @query("file_stream_ingest")
 def _(s: Star) -> DataFrame:
     base = work_dir(s.spark, "stream")
-    _document_lines(s).repartition(4).write.text(f"{base}/in")
-    lines = ingest.line_stream(s.spark, f"{base}/in", "part", files_per_batch=2)
+    # as many files as the scan has parts, so that a file stays a task's worth; taken in two batches
+    count = max(4, s.table("documents").rdd.getNumPartitions())
+    _document_lines(s).repartition(count).write.text(f"{base}/in")
+    lines = ingest.line_stream(s.spark, f"{base}/in", "part", files_per_batch=-(-count // 2))
     rows = ingest.change_records(lines, [OLD_KEY, NEW_KEY], DOCUMENT_TEXTS, DOCUMENT_LAKE)
     ingest.run_available(rows, f"{base}/lake", f"{base}/checkpoint")
     return _document_profile(s.spark.read.parquet(f"{base}/lake"))
