@@ -129,7 +129,7 @@ class KeyedTable:
         if token is not None and version.token is not None and token <= version.token:
             return version
         folder = f"changes/version={version.number + 1}"
-        align(rows, self.schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        align(rows, self.schema).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         done = Version(version.number + 1, version.buckets, (*version.changes, folder), version.token if token is None else token)
         self._commit(done)
         return done
@@ -149,7 +149,7 @@ class KeyedTable:
         both = old.unionByName(new).repartition(max(1, len(touched)), BUCKET)
         folder = f"data/version={version.number + 1}"
         merged = latest_by(both, [BUCKET, *self.keys], self.order).sortWithinPartitions(BUCKET, *self.keys)
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        merged.write.mode("overwrite").option("compression", "zstd").partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
         done = Version(version.number + 1, version.buckets | {b: f"{folder}/{BUCKET}={b}" for b in touched}, (), token)
         self._commit(done)
         return done
