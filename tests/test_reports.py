@@ -227,3 +227,30 @@ def test_biased_factors_beat_biases_and_the_mean(frame):
     got = biased.errors(frame("user_id long, product_id long, rating double", *rows), rank=3, passes=10).collect()
     assert sorted(r["fold"] for r in got) == [0, 1, 2] and sum(r["n"] for r in got) == len(rows)
     assert all(r["factors"] < 0.5 * min(r["biases"], r["constant"]) for r in got), got
+
+
+def test_a_gradient_step_joins_no_rating(spark, frame):
+    """A step is one join of vectors with a user's or item's links; its result is that of the errors rating by rating."""
+    from tidemark.plans import biased
+
+    rng = random.Random(9)
+    rows = [(u, p, rng.choice([1.0, 2.5, 4.0, None]), rng.randrange(3)) for u in range(9) for p in range(7)] + [(1, 2, 5.0, 0), (None, 3, 2.0, 1), (4, None, 2.0, 2), (20, 1, 3.0, 1)]
+    df = frame("user_id long, product_id long, rating double, fold int", *rows)
+    means, users, items = biased.fit(df, rank=2, passes=1)
+    start = {name: {(r["train"], r[key]): list(r)[2:] for r in side.collect()} for name, key, side in zip("ui", ("user_id", "product_id"), biased.fit(df, rank=2, passes=0)[1:])}
+    mean, got = {r["train"]: r["mean"] for r in means.collect()}, {"u": users, "i": items}
+    for mine, other, key in (("u", "i", "user_id"), ("i", "u", "product_id")):
+        moved = {}
+        for (train, i), v in start[mine].items():
+            near = [(r, start[other].get((train, p if mine == "u" else u))) for u, p, r, f in rows if f != train and (u if mine == "u" else p) == i and u is not None and p is not None]
+            left = [(r - mean[train] - v[0] - w[0] - v[1] * w[1] - v[2] * w[2], w) for r, w in near if r is not None]
+            c = sum(w[1] ** 2 + w[2] ** 2 for _, w in near)
+            pace = [1 / (2 * len(near) * 1.1 + 2), *[1 / (2 * (c + 0.1 * len(near)) + 2)] * 2]
+            g = [sum(e for e, _ in left), *(sum(e * w[j] for e, w in left) for j in (1, 2))]
+            moved[train, i] = [x + s * (d - 0.1 * len(near) * x) for x, s, d in zip(v, pace, g)]
+        start[mine] = moved
+        found = {(r["train"], r[key]): list(r)[2:] for r in got[mine].collect()}
+        assert found.keys() == moved.keys() and all(abs(a - b) < 1e-9 for k in moved for a, b in zip(found[k], moved[k]))
+    links = biased._links(df, "product_id", "user_id", 4)
+    step = biased._step(links, biased._start(df, "product_id", "item", 3, 2, 7), biased._start(df, "user_id", "user", 3, 2, 7), "user_id", 4, mean, 3, 2, 0.1, 2.0)
+    assert step._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
