@@ -254,3 +254,20 @@ def test_a_gradient_step_joins_no_rating(spark, frame):
     links = biased._links(df, "product_id", "user_id", 4)
     step = biased._step(links, biased._start(df, "product_id", "item", 3, 2, 7), biased._start(df, "user_id", "user", 3, 2, 7), "user_id", 4, mean, 3, 2, 0.1, 2.0)
     assert step._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_a_phrase_table_counts_words_and_pairs_once(spark):
+    docs = spark.createDataFrame([(i, ["apple", "pear", f"word{i % 7}"] * 2) for i in range(40)] + [(90, []), (91, ["apple"])], "doc_id long, tokens array<string>")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        reads.add(1)
+        return x
+
+    watched = docs.withColumn("tokens", F.udf(counted, "array<string>")("tokens"))
+    got = {(r["first"], r["second"]): (r["n"], r["score"]) for r in topics.phrase_table(watched, threshold=0.01).collect()}
+    # words: two and seven; pairs: apple pear, pear word0..6, word0..6 apple; of each pair's words one is as rare as it
+    assert got["apple", "pear"] == (80, 75 * 24 / (81 * 80)) and got["pear", "word0"] == (12, 7 * 24 / (80 * 12))
+    # one pass for the words and one for the pairs, whose plan names the tokens three times
+    assert reads.value <= 4 * docs.count()
+    assert topics.phrase_table(docs.filter("doc_id < 0")).count() == 0 and topics.phrase_table(docs.filter("doc_id > 80")).count() == 0
