@@ -271,3 +271,11 @@ def test_a_phrase_table_counts_words_and_pairs_once(spark):
     # one pass for the words and one for the pairs, whose plan names the tokens three times
     assert reads.value <= 4 * docs.count()
     assert topics.phrase_table(docs.filter("doc_id < 0")).count() == 0 and topics.phrase_table(docs.filter("doc_id > 80")).count() == 0
+
+
+def test_documents_of_a_topic_model_are_dealt_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    sizes = lambda df: [len(x) for x in df.rdd.glom().collect()]
+    many = sizes(topics.dealt(spark.range(0, 30_000, 1, cores + 1)))
+    assert len(many) == 3 * cores and sum(many) == 30_000 and max(many) < 1.2 * min(many)
+    assert sizes(topics.dealt(spark.range(0, 900, 1, 1))) == [900] and len(sizes(topics.dealt(spark.range(0, 30_000, 1, 40)))) == 40
