@@ -193,6 +193,43 @@ def test_topics_and_recommender_small(spark):
     assert max(Counter(r["user_id"] for r in top).values()) <= 5 and all(1 <= r["prediction"] <= 5 for r in top)
 
 
+def test_folds_are_fitted_at_once_and_apart(spark, monkeypatch):
+    seen = []
+    fit = recommend.fit
+    monkeypatch.setattr(recommend, "fit", lambda train, blocks=10, **o: seen.append((train, blocks)) or fit(train, blocks=blocks, **o))
+    pairs = [(u, f"p{p}", 1 + (u * p) % 5) for u in range(24) for p in range(18) if (u + p) % 4]
+    ddl = "user_id long, product_id string, rating int"
+    ratings = spark.createDataFrame([*pairs, (None, "p1", 3), (2, None, 3), pairs[0]], ddl)
+    rmse, found = recommend.cross_validate(ratings, iterations=3, rank=3)
+    # one fit, in which a vector only goes to blocks of its own fold
+    (train, blocks), = seen
+    assert blocks % 3 == 0 and blocks < 30
+    rows = train.collect()
+    assert len(rows) == 2 * (len(pairs) + 1) and all(r["_u"] % 3 == r["_p"] % 3 for r in rows)
+    assert sorted(map(tuple, found.select("user_id", "product_id", "rating").collect())) == sorted([*pairs, pairs[0]])
+    # what a fold has not seen does not move its estimates
+    held = {(r["user_id"], r["product_id"]) for r in found.collect() if r["fold"] == 1}
+    other = [(u, p, 6 - x if (u, p) in held else x) for u, p, x in pairs]
+    other = spark.createDataFrame([*other, (None, "p1", 3), (2, None, 3), other[0]], ddl)
+    _, again = recommend.cross_validate(other, iterations=3, rank=3)
+    of = lambda df: sorted((r["user_id"], r["product_id"], r["prediction"]) for r in df.filter("fold = 1").collect())
+    assert [x[:2] for x in of(found)] == [x[:2] for x in of(again)] and all(abs(a[2] - b[2]) < 1e-3 for a, b in zip(of(found), of(again)))
+    before = [((r["prediction"] - r["rating"]) ** 2, r["fold"]) for r in found.collect()]
+    for f in range(3):
+        own = [e for e, of_fold in before if of_fold == f]
+        assert abs(rmse[f] - (sum(own) / len(own)) ** 0.5) < 1e-9
+
+
+def test_a_fold_without_ratings_to_learn_from_is_refused(spark):
+    with pytest.raises(ValueError, match="learn"):
+        recommend.cross_validate(spark.createDataFrame([(1, 1, 5)], "user_id long, product_id long, rating int"))
+
+
+def test_blocks_follow_cores_and_ratings():
+    assert [recommend.blocks_each(1000, 3, c) for c in (1, 8, 12, 400)] == [1, 3, 4, recommend.BLOCKS]
+    assert recommend.blocks_each(30 * recommend.BLOCK_RATINGS + 1, 3, 12) == 31
+
+
 def test_a_chain_reads_its_sources_once(spark, frame):
     from tidemark.plans import chain, cohort
 
