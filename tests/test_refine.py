@@ -4,7 +4,7 @@ import pytest
 
 from tidemark import config
 from tidemark.adapters import Lake, Star
-from tidemark.operators.versions import history_of
+from tidemark.operators.versions import history_of, latest_by
 from tidemark.plans import refine
 
 RULES = config.Rules({"north": config.NORMALIZED, "south": config.PASS_THROUGH})
@@ -185,3 +185,36 @@ def test_items_of_changed_orders_are_picked_before_they_are_joined(spark, frame,
     assert lake.known("tree_orders", "id", ids, "order_id") is None
     # the long table is not written, as it would be moved whole
     assert "l_orderkey" in lake["tree_order_items"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_items_are_moved_narrow_to_rank_their_versions_and_tenants_are_joined_to_orders_once(spark, frame, tmp_path):
+    tables = {
+        "region": frame("r_regionkey int, r_name string", (0, "EUROPE")),
+        "nation": frame("n_nationkey int, n_name string, n_regionkey int", (0, "A", 0)),
+        "customer": frame("c_custkey long, c_name string, c_nationkey int, c_mktsegment string", (1, "c#1", 0, "x"), (2, "c#2", 0, "x")),
+        "orders": frame(
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+            (1, 1, "F", 5.0, "1996-01-01", "5-LOW"), (2, 2, "O", 6.0, "1996-01-01", "5-LOW"), (2, 2, "O", 6.0, "1996-01-01", None)),
+        "part": frame("p_partkey long, p_name string, p_brand string, p_type string", (7, "n", "b", "t"), (8, "m", "b", "t")),
+        # order 1's line 12 and order 2's line 2 share an item id; the newest of its versions is of a part that is not there
+        "lineitem": frame(
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+            (1, 7, 1, 12, 1.0, 3.0, "N", "1996-01-02"), (2, 8, 1, 2, 2.0, 3.0, "N", "1996-01-03"), (2, 9, 1, 2, 3.0, 3.0, "N", "1996-01-04"),
+            (1, 7, 1, None, 4.0, 3.0, "N", "1996-01-05"), (2, 7, 1, None, 5.0, 3.0, "N", "1996-01-02")),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    star = Star(spark, str(tmp_path))
+    lake = Lake(star)
+    ids = frame("client string, order_id long", ("europe", 1), ("europe", 2))
+    whole = latest_by(history_of(star.lake_order_items(), ids, "order_id", "order_id"), ["client", "id"])
+    ranked = latest_by(lake.known("tree_order_items", "order_id", ids, "order_id"), ["client", "id"])
+    found = {(r["id"], r["order_id"], r["quantity"]) for r in ranked.collect()}
+    assert found == {(r["id"], r["order_id"], r["quantity"]) for r in whole.collect()} == {(22, 2, 2), (None, 1, 4)}
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    # read from the top: the version's name is made above the step that deals items out, which is the last to move them
+    assert plan.index("date_format(") < plan.index("RepartitionByExpression") < plan.index("Join")
+    # the tenant of an order is written with it, so no lake table of orders joins customers again
+    for name in ("tree_orders", "tree_order_items", "pyr_contact_phone_numbers", "pyr_contacts_contact_categories"):
+        assert "c_custkey" not in lake[name]._jdf.queryExecution().optimizedPlan().toString()
+    assert lake["tree_orders"].count() == 4 and lake["pyr_contact_phone_numbers"].count() == 3
