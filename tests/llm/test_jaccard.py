@@ -53,6 +53,18 @@ def test_against_all_pairs(frame, seed):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in got})
 
 
+def test_members_that_link_without_their_leader(frame):
+    """Equal prefixes, but the smallest id shares no more than that with the two others, which link with each other."""
+    w = [f"x108.{i}" for i in range(18)]
+    texts = [" ".join(t) for t in (w[:6] + w[12:17], w[:11], w[:10] + w[17:])]
+    docs = frame("doc_id long, text string", *enumerate(texts))
+    rows = jaccard.prefixes(docs, "doc_id", "text", 5, (np.zeros(0, np.uint64), np.zeros(0, np.int64))).collect()
+    assert len({(r.n, r.group) for r in rows}) == 1
+    assert plain(texts) == [(0, 7, 0), (1, 7, 1), (2, 7, 1)]
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()) == plain(texts)
+    assert sorted(r.doc_id for r in jaccard.keep_first(docs).collect()) == [0, 1]
+
+
 def test_order_does_not_matter(frame, monkeypatch):
     texts = corpus(3, 4, 10)
     docs = frame("doc_id long, text string", *enumerate(texts))
