@@ -40,6 +40,22 @@ def test_topk_against_all_pairs(frame, monkeypatch, shard, seeds):
     assert got == nearest(whole, [i for i in whole if i % 10 == 0], 5)
 
 
+def test_topk_in_bundles_without_broadcast(frame, spark, monkeypatch):
+    """Queries stream by bundles of several shards; none is sent through the driver, whatever its estimated size."""
+    monkeypatch.setattr(impact, "SHARD_VECTORS", 7)
+    monkeypatch.setattr(impact, "BLOCK_QUERIES", 5)
+    monkeypatch.setattr(impact, "SEEDS", 12)
+    monkeypatch.setattr(impact, "BUNDLE_NUMBERS", 100, raising=False)
+    rng = random.Random(5)
+    given = {i: [float(np.float32(rng.gauss(0, 0.2))) for _ in range(6)] for i in range(160)}
+    vectors = frame("vec_id long, embedding array<float>", *given.items())
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in given.items()}
+    found = impact.search(vectors, F.col("vec_id") % 4 == 0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "RepartitionByExpression" in plan
+    assert sorted(tuple(r) for r in found.collect()) == nearest(whole, [i for i in whole if i % 4 == 0], 5)
+
+
 def test_topk_small_and_empty(frame):
     ddl = "vec_id long, embedding array<float>"
     assert impact.search(frame(ddl), F.col("vec_id") % 50 == 0).count() == 0

@@ -9,8 +9,9 @@ component's impacts are smaller), which bounds its score from above. Processing
 reaches the query's threshold are so few that they are cheaper to score, or no segment is left; these possible members are
 scored exactly, so what is left out is proven not to belong to the answer.
 
-The threshold starts from exact scores of a bounded sample of vectors. Queries meet a shard in blocks, and only scores
-that reach the threshold, at most ``k`` for each query and shard, leave a task.
+The threshold starts from exact scores of a bounded sample of vectors. Shards are dealt to tasks in bundles of bounded
+size; a task holds one bundle, and the queries stream by it in blocks, so they move once for each bundle and are never
+broadcast. Only scores that reach the threshold, at most ``k`` for each query and bundle, leave a task.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from tidemark.session import cut, share_code
 
 SHARD_VECTORS = 4096
 BLOCK_QUERIES = 256
+#: Components of the vectors that a task holds at a time, unless fewer shards keep all cores busy.
+BUNDLE_NUMBERS = 1 << 22
 LEVELS = 32
 SEEDS = 1024
 STEPS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0)
@@ -153,35 +156,51 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     queries = map_batches(rows.where("_q").select("_id", "_v"), start, "_id long, _v array<int>, _low long")
     spot = F.struct("_id", "_v", "_low")
     blocks = queries.groupBy(F.pmod(F.xxhash64("_id"), F.lit(n_blocks)).alias("_block")).agg(F.sort_array(F.collect_list(spot)).alias("_queries"))
-    shard = F.pmod(F.xxhash64("_id", F.lit("shard")), F.lit(n_shards)).alias("_shard")
-    # one shard is much work on few bytes, so shards are dealt out by number and not by size
-    dealt = rows.select("_id", "_v", shard).repartition(2 * n_shards, "_shard")
-    shards = dealt.groupBy("_shard").agg(F.sort_array(F.collect_list(F.struct("_id", "_v"))).alias("_vectors"))
-    everywhere = cut(blocks, "impact-queries").withColumn("_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))))
-    met = shards.join(everywhere, "_shard").select("_shard", "_vectors", "_queries")
+    n_bundles = min(n_shards, max(2 * spark.sparkContext.defaultParallelism, -(-n * width // BUNDLE_NUMBERS)))
+    shard = F.pmod(F.xxhash64("_id", F.lit("shard")), F.lit(n_shards)).cast("int")
+    dealt = rows.select(shard.alias("_shard"), "_id", "_v").withColumn("_bundle", F.pmod("_shard", F.lit(n_bundles)))
+    everywhere = cut(blocks.select("_queries"), "impact-queries").withColumn("_bundle", F.explode(F.sequence(F.lit(0), F.lit(n_bundles - 1))))
+    # a bundle's vectors by shard, then the queries; a bundle is much work on few bytes, so it is a partition whatever its size
+    met = dealt.unionByName(everywhere, allowMissingColumns=True).repartitionById(n_bundles, F.col("_bundle"))
+    met = met.sortWithinPartitions("_bundle", F.asc_nulls_last("_shard"), "_id").select("_bundle", F.coalesce("_shard", F.lit(-1)).alias("_shard"), "_id", "_v", "_queries")
+
+    def asked_of(shards: list[Shard], asked: pa.StructArray) -> pa.RecordBatch:
+        """The best of a bundle for a block of queries; what a query has found in one shard is its threshold in the next."""
+        out: list[list[np.ndarray]] = [[], [], []]
+        for own, query, low in zip(asked.field("_id").to_numpy(), _matrix(asked.field("_v"), width), asked.field("_low").to_pylist()):
+            best, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for index in shards:
+                some = np.arange(len(index.ids)) if low is None else index.members(query, low)
+                some = some[index.ids[some] != own]
+                scores = index.vectors[some] @ query
+                if low is not None:
+                    some, scores = some[scores >= low], scores[scores >= low]
+                best, ids = np.concatenate([best, scores]), np.concatenate([ids, index.ids[some]])
+                top = _top(best, ids, k)
+                best, ids = best[top], ids[top]
+                if len(best) == k:
+                    low = int(best[-1]) if low is None else max(low, int(best[-1]))
+            for x, part in zip(out, (np.full(len(ids), own), ids, best)):
+                x.append(part)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["_query", "_found", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, index = None, None
+        bundle, number, held, shards = None, None, [], []
         for batch in batches:
-            for i in range(batch.num_rows):
-                number = batch.column(0)[i].as_py()
-                if number != known:  # the rows of a shard follow each other
-                    held = batch.column(1)[i].values
-                    known, index = number, Shard(held.field("_id").to_numpy(), _matrix(held.field("_v"), width))
-                asked = batch.column(2)[i].values
-                lows = asked.field("_low").to_pylist()
-                out: list[list[np.ndarray]] = [[], [], []]
-                for own, query, low in zip(asked.field("_id").to_numpy(), _matrix(asked.field("_v"), width), lows):
-                    some = np.arange(len(index.ids)) if low is None else index.members(query, low)
-                    some = some[index.ids[some] != own]
-                    scores = index.vectors[some] @ query
-                    if low is not None:
-                        some, scores = some[scores >= low], scores[scores >= low]
-                    top = _top(scores, index.ids[some], k)
-                    for x, part in zip(out, (np.full(len(top), own), index.ids[some[top]], scores[top])):
-                        x.append(part)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["_query", "_found", "score"])
+            at = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+            edges = np.flatnonzero(np.any(at[:, 1:] != at[:, :-1], axis=0)) + 1
+            for lo, hi in zip([0, *edges], [*edges, batch.num_rows]) if batch.num_rows else ():
+                if held and (bundle, number) != (at[0, lo], at[1, lo]):
+                    shards.append(Shard(*(np.concatenate(x) for x in zip(*held))))
+                    held = []
+                if bundle != at[0, lo]:
+                    shards = []
+                bundle, number = at[0, lo], at[1, lo]
+                if number >= 0:
+                    held.append((batch.column(2)[lo:hi].to_numpy(), _matrix(batch.column(3)[lo:hi], width)))
+                    continue
+                for i in range(lo, hi):
+                    yield asked_of(shards, batch.column(4)[i].values)
 
     found = map_batches(met, run, "_query long, _found long, score long")
     order = Window.partitionBy("_query").orderBy(F.desc("score"), "_found")
