@@ -228,6 +228,21 @@ def test_a_fold_without_ratings_to_learn_from_is_refused(spark):
 def test_blocks_follow_cores_and_ratings():
     assert [recommend.blocks_each(1000, 3, c) for c in (1, 8, 12, 400)] == [1, 3, 4, recommend.BLOCKS]
     assert recommend.blocks_each(30 * recommend.BLOCK_RATINGS + 1, 3, 12) == 31
+    # four tasks an executor lay out a block each: at 50 bytes a rating they stay below 2.5 GB, however many ratings
+    assert all(4 * 50 * ratings / recommend.blocks_each(ratings, 3, 12) < 2.5e9 for ratings in (10**7, 144 * 10**6, 10**9))
+
+
+def test_shuffle_files_of_an_iteration_go_with_it(spark, frame):
+    """A longer fit keeps no more shuffles than a short one: only the layout's and those of the last iteration."""
+    rows = frame("_u int, _p int, rating float", *((u, p, float(1 + (u * p) % 5)) for u in range(12) for p in range(9)))
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    kept = []
+    for iterations in (2, 9):
+        before = tracker.shuffleStatuses().size()
+        model = recommend.fit(rows, rank=2, iterations=iterations, blocks=2)
+        kept.append(tracker.shuffleStatuses().size() - before)
+        assert model.userFactors.count() == 12
+    assert kept[1] <= kept[0] + 2
 
 
 def test_a_chain_reads_its_sources_once(spark, frame):
