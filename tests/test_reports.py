@@ -308,6 +308,29 @@ def test_a_gradient_step_joins_no_rating(spark, frame):
     assert step._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
 
 
+def test_passes_leave_only_the_newest_on_disk(spark, frame, monkeypatch, tmp_path):
+    """Neither vectors nor shuffle files of earlier passes stay, so disk does not grow with the passes."""
+    import uuid
+
+    from tidemark import session
+    from tidemark.plans import biased
+
+    rows = frame("user_id long, product_id long, rating double, fold int", *((u, p, float(1 + u * p % 5), (u + p) % 3) for u in range(9) for p in range(7)))
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    kept = []
+    for passes in (1, 3):
+        top = tmp_path / str(passes)
+        monkeypatch.setattr(session, "work_dir", lambda spark, name: f"{top}/{name}-{uuid.uuid4().hex}")
+        before = tracker.shuffleStatuses().size()
+        _, users, items = biased.fit(rows, rank=2, passes=passes)
+        shuffles = tracker.shuffleStatuses().size() - before
+        folders = [p.name.split("-")[0] for p in top.iterdir()]
+        assert (users.count(), items.count()) == (27, 21)
+        kept.append((shuffles, folders.count("users"), folders.count("items")))
+    assert kept[1][0] <= kept[0][0] + 2 and kept[0][1:] == kept[1][1:] == (1, 1)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_a_phrase_table_counts_words_and_pairs_once(spark):
     docs = spark.createDataFrame([(i, ["apple", "pear", f"word{i % 7}"] * 2) for i in range(40)] + [(90, []), (91, ["apple"])], "doc_id long, tokens array<string>")
     reads = spark.sparkContext.accumulator(0)
