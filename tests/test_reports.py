@@ -232,17 +232,18 @@ def test_blocks_follow_cores_and_ratings():
     assert all(4 * 50 * ratings / recommend.blocks_each(ratings, 3, 12) < 2.5e9 for ratings in (10**7, 144 * 10**6, 10**9))
 
 
+def shuffle_ids(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet().mkString(",")
+    return set(found.split(",")) - {""}
+
+
 def test_shuffle_files_of_an_iteration_go_with_it(spark, frame):
-    """A longer fit keeps no more shuffles than a short one: only the layout's and those of the last iteration."""
+    """A long fit keeps only the shuffles of the layout and of the last iteration."""
     rows = frame("_u int, _p int, rating float", *((u, p, float(1 + (u * p) % 5)) for u in range(12) for p in range(9)))
-    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
-    kept = []
-    for iterations in (2, 9):
-        before = tracker.shuffleStatuses().size()
-        model = recommend.fit(rows, rank=2, iterations=iterations, blocks=2)
-        kept.append(tracker.shuffleStatuses().size() - before)
-        assert model.userFactors.count() == 12
-    assert kept[1] <= kept[0] + 2
+    before = shuffle_ids(spark)
+    model = recommend.fit(rows, rank=2, iterations=9, blocks=2)
+    assert len(shuffle_ids(spark) - before) <= 6
+    assert model.userFactors.count() == 12
 
 
 def test_a_chain_reads_its_sources_once(spark, frame):
@@ -316,19 +317,18 @@ def test_passes_leave_only_the_newest_on_disk(spark, frame, monkeypatch, tmp_pat
     from tidemark.plans import biased
 
     rows = frame("user_id long, product_id long, rating double, fold int", *((u, p, float(1 + u * p % 5), (u + p) % 3) for u in range(9) for p in range(7)))
-    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
-    kept = []
-    for passes in (1, 3):
-        top = tmp_path / str(passes)
-        monkeypatch.setattr(session, "work_dir", lambda spark, name: f"{top}/{name}-{uuid.uuid4().hex}")
-        before = tracker.shuffleStatuses().size()
-        _, users, items = biased.fit(rows, rank=2, passes=passes)
-        shuffles = tracker.shuffleStatuses().size() - before
-        folders = [p.name.split("-")[0] for p in top.iterdir()]
-        assert (users.count(), items.count()) == (27, 21)
-        kept.append((shuffles, folders.count("users"), folders.count("items")))
-    assert kept[1][0] <= kept[0][0] + 2 and kept[0][1:] == kept[1][1:] == (1, 1)
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    top = tmp_path / "kept"
+    monkeypatch.setattr(session, "work_dir", lambda spark, name: f"{top}/{name}-{uuid.uuid4().hex}")
+    _, users, items = biased.fit(rows, rank=2, passes=3)
+    folders = [p.name.split("-")[0] for p in top.iterdir()]
+    assert (users.count(), items.count()) == (27, 21)
+    assert (folders.count("users"), folders.count("items")) == (1, 1)
+    steps = session.Steps("step")
+    for n in range(3):
+        before = shuffle_ids(spark)
+        found = steps.cut(spark.range(100 + n).groupBy(F.col("id") % 7).count())
+        assert not shuffle_ids(spark) - before and found.count() == 7
+    assert spark.conf.get(session.Steps.CLEAN) == "false"
 
 
 def test_a_phrase_table_counts_words_and_pairs_once(spark):
